@@ -3,13 +3,17 @@
 Rules: NULL and JSON null stay NULL; what cannot be read as the wanted type becomes NULL; a relation (an object with
 ``externalId``, or text such as ``{space=s, externalId=x}``) stands for its external id. All of it is built-in
 expressions, evaluated in the JVM.
+
+A rule looks at three things: the value, its JSON type and its text. :func:`coerce_columns` computes each of them
+once per value in a projection of its own; the rules then branch on the type, plain cases first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,141 +22,242 @@ from viewloom.functions.timing import iso_timestamp
 # Texts that mean true, after trimming and lower-casing; every other text means false.
 TRUE_TEXTS = ("true", "1", "yes")
 
+NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+[.]?\d*|[.]\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
 RELATION_TEXT = r"externalId=([^,}]+)"
 MILLIS_PER_DAY = 86_400_000
 
 
-def _text(value: Column) -> Column:
-    """Scalars as text, objects and lists as their JSON text."""
-    return F.try_variant_get(value, "$", "string")
+class Read(NamedTuple):
+    """A value with its JSON type name and its text (for objects and lists, their JSON text)."""
+
+    value: Column
+    kind: Column
+    text: Column
+
+    @property
+    def is_text(self) -> Column:
+        return self.kind == "STRING"
+
+    @property
+    def is_object(self) -> Column:
+        return self.kind.startswith("OBJECT")
+
+    @property
+    def is_list(self) -> Column:
+        return self.kind.startswith("ARRAY")
+
+    @property
+    def is_null(self) -> Column:
+        return self.kind.isNull() | (self.kind == "VOID")
+
+
+def _read(value: Column) -> Read:
+    return Read(value, F.schema_of_variant(value), F.try_variant_get(value, "$", "string"))
 
 
-def _is_text(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
+def _as_struct(value: Column) -> Column:
+    return F.struct(*[column.alias(name) for name, column in _read(value)._asdict().items()])
+
+
+def _from_struct(read: Column) -> Read:
+    return Read(read["value"], read["kind"], read["text"])
 
 
 def _looks_like_list(text: Column) -> Column:
-    return F.trim(text).startswith("[") & F.trim(text).endswith("]")
+    return text.rlike(r"^\s*\[[\s\S]*\]\s*$")
 
 
 def _list_from_text(text: Column) -> Column:
-    return F.when(_looks_like_list(text), F.try_variant_get(F.try_parse_json(text), "$", "array<variant>"))
+    """The list that a text holds, as a VARIANT; NULL if it holds none."""
+    return F.when(_looks_like_list(text), F.try_parse_json(text))
 
 
-def relation_id(value: Column) -> Column:
-    """External id of a relation value, or NULL if the value is not a relation."""
-    text = _text(value)
-    in_text = F.when(
-        _is_text(value) & text.startswith("{"),
-        F.nullif(F.trim(F.regexp_extract(text, RELATION_TEXT, 1)), F.lit("")),
-    )
+def _id_in_text(text: Column) -> Column:
+    return F.when(text.startswith("{"), F.nullif(F.trim(F.regexp_extract(text, RELATION_TEXT, 1)), F.lit("")))
+
+
+def _id_in_object(value: Column) -> Column:
     return F.coalesce(
-        F.try_variant_get(value, "$.externalId", "string"),
-        F.try_variant_get(value, "$.external_id", "string"),
-        in_text,
+        F.try_variant_get(value, "$.externalId", "string"), F.try_variant_get(value, "$.external_id", "string")
     )
 
 
-def _scalar_text(value: Column) -> Column:
-    """The text to read a scalar from: a relation's id, or a JSON string; NULL for other JSON types."""
-    return F.coalesce(relation_id(value), F.when(_is_text(value), _text(value)))
+def _relation_id(read: Read) -> Column:
+    return F.when(read.is_text, _id_in_text(read.text)).when(read.is_object, _id_in_object(read.value))
 
 
-def to_long(value: Column) -> Column:
-    """Numbers are truncated towards zero; text must be an integer."""
-    text = F.trim(_scalar_text(value))
-    return F.coalesce(
-        F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")),
-        F.when(~_is_text(value), F.try_variant_get(value, "$", "bigint")),
+def relation_id(value: Column) -> Column:
+    """External id of a relation value, or NULL if the value is not a relation."""
+    return _relation_id(_read(value))
+
+
+def _scalar(read: Read, from_text: Callable[[Column], Column], otherwise: Column) -> Column:
+    """A scalar from a JSON text, from the id of a relation, or else from the value itself."""
+    return (
+        F.when(read.is_text & ~read.text.startswith("{"), from_text(read.text))
+        .when(read.is_text, from_text(F.coalesce(_id_in_text(read.text), read.text)))
+        .when(read.is_object, from_text(_id_in_object(read.value)))
+        .otherwise(otherwise)
     )
 
 
-def to_double(value: Column) -> Column:
-    text = F.trim(_scalar_text(value))
-    # Spark also reads Java's type suffixes ("1.5d"), which are not numbers here.
-    plain = F.when(~text.rlike(r"[0-9.][dDfF]$"), text.try_cast("double"))
-    return F.coalesce(plain, F.when(~_is_text(value), F.try_variant_get(value, "$", "double")))
+def _long(read: Read) -> Column:
+    """Numbers are truncated towards zero; text must be an integer."""
 
+    def from_text(text: Column) -> Column:
+        # Text with a fraction is no integer, although Spark's own cast would cut the fraction off.
+        return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint"))
 
-def to_boolean(value: Column) -> Column:
+    return _scalar(read, from_text, F.try_variant_get(read.value, "$", "bigint"))
+
+
+def _double(read: Read) -> Column:
+    def from_text(text: Column) -> Column:
+        # The pattern keeps out Java's type suffixes ("1.5d"), and the cost of casts that fail.
+        return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+
+    return _scalar(read, from_text, F.try_variant_get(read.value, "$", "double"))
+
+
+def _boolean(read: Read) -> Column:
     """Text is true only if it is one of ``TRUE_TEXTS``, else false; numbers are true unless zero."""
-    text = _scalar_text(value)
-    listed = _list_from_text(text)
-    return (
-        F.when(listed.isNotNull(), F.size(listed) > 0)
-        .when(text.isNotNull(), F.lower(F.trim(text)).isin(*TRUE_TEXTS))
-        .when(
-            F.try_variant_get(value, "$", "double").isNotNull(),
-            F.try_variant_get(value, "$", "double") != 0,
-        )
-        .when(_text(value).isNotNull(), ~_text(value).isin("[]", "{}"))
-    )
 
+    def from_text(text: Column) -> Column:
+        listed = F.when(_looks_like_list(text), F.to_json(F.try_parse_json(text)))
+        return F.coalesce(listed != "[]", F.lower(F.trim(text)).isin(*TRUE_TEXTS))
 
-def _epoch_millis(value: Column) -> Column:
-    return F.when(~_is_text(value), F.try_variant_get(value, "$", "bigint"))
+    return (
+        F.when(read.kind == "BOOLEAN", F.try_variant_get(read.value, "$", "boolean"))
+        .when(read.is_list, read.text != "[]")
+        .when(read.is_object & _id_in_object(read.value).isNull(), read.text != "{}")
+        .otherwise(_scalar(read, from_text, F.try_variant_get(read.value, "$", "double") != 0))
+    )
 
 
-def to_timestamp(value: Column) -> Column:
+def _timestamp(read: Read) -> Column:
     """Numbers are epoch milliseconds (0 included); text is ISO 8601, UTC unless it has an offset."""
-    return F.coalesce(F.timestamp_millis(_epoch_millis(value)), iso_timestamp(_scalar_text(value)))
+    millis = F.try_variant_get(read.value, "$", "bigint")
+    return _scalar(read, iso_timestamp, F.timestamp_millis(millis))
 
 
-def to_date(value: Column) -> Column:
+def _date(read: Read) -> Column:
     """Epoch milliseconds in UTC, an ISO date, or an ISO timestamp cut to its date in its own offset."""
-    days = F.floor(_epoch_millis(value) / MILLIS_PER_DAY).cast("int")
-    text = F.trim(_scalar_text(value))
-    from_text = F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2}(T.*)?$") & iso_timestamp(text).isNotNull(),
-        F.substring(text, 1, 10).try_cast("date"),
-    )
-    return F.coalesce(F.date_add(F.lit("1970-01-01").cast("date"), days), from_text)
+    days = F.floor(F.try_variant_get(read.value, "$", "bigint") / MILLIS_PER_DAY).cast("int")
 
+    def from_text(text: Column) -> Column:
+        text = F.trim(text)
+        day = F.substring(text, 1, 10).try_cast("date")
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), day).when(
+            F.substring(text, 11, 1) == "T", F.when(iso_timestamp(text).isNotNull(), day)
+        )
 
-def _json_list_text(items: Column) -> Column:
-    """JSON text of a list in which each relation is replaced by its external id."""
+    return _scalar(read, from_text, F.date_add(F.lit("1970-01-01").cast("date"), days))
 
-    def element(item: Column) -> Column:
-        return F.coalesce(F.to_json(F.to_variant_object(F.array(relation_id(item)))), F.lit("[]"))
+
+def _quoted(text: Column) -> Column:
+    """A text as a JSON string: a one-element list gets the quoting right, its brackets are cut off again."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def _may_hold_relations(json_text: Column) -> Column:
+    return json_text.contains("externalId") | json_text.contains("external_id")
+
+
+def _json_list_text(listed: Column, json_text: Column) -> Column:
+    """JSON text of a list in which each relation is replaced by its external id."""
 
     def rendered(item: Column) -> Column:
-        # A one-element array around the id gives it JSON quoting; the brackets are cut off again.
-        quoted = element(item)
-        return F.when(
-            relation_id(item).isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2)
-        ).otherwise(F.coalesce(F.to_json(item), F.lit("null")))
+        read = _from_struct(item)
+        plain = F.coalesce(F.to_json(read.value), F.lit("null"))
+        may_relate = read.is_object | (read.is_text & read.text.startswith("{"))
+        return F.when(may_relate, F.coalesce(_quoted(_relation_id(read)), plain)).otherwise(plain)
 
-    return F.concat(F.lit("["), F.array_join(F.transform(items, rendered), ", "), F.lit("]"))
+    items = F.try_variant_get(listed, "$", "array<variant>")
+    parts = F.when(
+        _may_hold_relations(json_text), F.transform(F.transform(items, _as_struct), rendered)
+    ).otherwise(F.transform(items, lambda item: F.coalesce(F.to_json(item), F.lit("null"))))
+    return F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
 
 
-def to_string(value: Column) -> Column:
+def _string(read: Read) -> Column:
     """Text as it is, relations as their external id, lists and objects as JSON text (non-ASCII kept)."""
-    text = _text(value)
-    items = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), _list_from_text(text))
-    return F.coalesce(relation_id(value), _json_list_text(items), text)
-
-
-def list_items(value: Column) -> Column:
-    """A list value as ARRAY<VARIANT>: a JSON list, or text holding one, unwrapping a list encoded twice."""
-    outer = _list_from_text(F.when(_is_text(value), _text(value)))
-    first = F.get(outer, 0)
-    inner = _list_from_text(F.when(_is_text(first), _text(first)))
-    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), inner, outer)
-
-
-SCALAR_RULES: dict[type[T.DataType], Callable[[Column], Column]] = {
-    T.LongType: to_long,
-    T.DoubleType: to_double,
-    T.BooleanType: to_boolean,
-    T.TimestampType: to_timestamp,
-    T.DateType: to_date,
-    T.StringType: to_string,
+    starts_list = F.ltrim(read.text).startswith("[")
+    return (
+        F.when(read.is_text & ~read.text.startswith("{") & ~starts_list, read.text)
+        .when(read.is_text & starts_list, F.coalesce(_json_list_text(_list_from_text(read.text), read.text), read.text))
+        .when(read.is_text, F.coalesce(_id_in_text(read.text), read.text))
+        .when(read.is_object, F.coalesce(_id_in_object(read.value), read.text))
+        .when(read.is_list, _json_list_text(read.value, read.text))
+        .otherwise(read.text)
+    )
+
+
+def _list_value(read: Read) -> Column:
+    """A list as a VARIANT: a JSON list, or the one that a text holds, unwrapping a list encoded twice."""
+    outer = _list_from_text(read.text)
+    first = F.try_variant_get(outer, "$[0]", "variant")
+    inner = F.when(F.schema_of_variant(first) == "STRING", _list_from_text(F.try_variant_get(outer, "$[0]", "string")))
+    return F.when(read.is_list, read.value).when(read.is_text, F.coalesce(inner, outer))
+
+
+SCALAR_RULES: dict[type[T.DataType], Callable[[Read], Column]] = {
+    T.LongType: _long,
+    T.DoubleType: _double,
+    T.BooleanType: _boolean,
+    T.TimestampType: _timestamp,
+    T.DateType: _date,
+    T.StringType: _string,
 }
 
 
+# Element types for which Spark's own cast of a whole list agrees with the rules wherever it succeeds.
+WHOLE_LIST_CASTS = (T.LongType, T.DoubleType, T.StringType)
+
+
+def _array(read: Read, data_type: T.ArrayType) -> Column:
+    rule = SCALAR_RULES[type(data_type.elementType)]
+
+    def element(item: Column) -> Column:
+        part = _from_struct(item)
+        return F.when(~part.is_null, rule(part))
+
+    listed = _list_value(read)
+    by_element = F.transform(F.transform(F.try_variant_get(listed, "$", "array<variant>"), _as_struct), element)
+    if not isinstance(data_type.elementType, WHOLE_LIST_CASTS):
+        return by_element
+    whole = F.try_variant_get(listed, "$", data_type.simpleString())
+    return F.coalesce(F.when(~_may_hold_relations(read.text), whole), by_element)
+
+
+def _coerce(read: Read, data_type: T.DataType) -> Column:
+    rule = SCALAR_RULES.get(type(data_type))
+    return F.when(~read.is_null, rule(read) if rule else _array(read, data_type))
+
+
 def coerce(value: Column, data_type: T.DataType) -> Column:
     """A VARIANT value as ``data_type``, which is one of the types a view property can have."""
-    if isinstance(data_type, T.ArrayType):
-        rule = SCALAR_RULES[type(data_type.elementType)]
-        return F.transform(list_items(value), lambda item: F.when(~F.is_variant_null(item), rule(item)))
-    return F.when(~F.is_variant_null(value), SCALAR_RULES[type(data_type)](value))
+    return _coerce(_read(value), data_type)
+
+
+def coerce_columns(
+    rows: DataFrame, wanted: Mapping[str, tuple[Column, T.DataType]], keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``keep`` and the wanted values, coerced. Values, and then their types and texts, are computed once each."""
+    labels = {name: f"_{i}" for i, name in enumerate(wanted)}
+    values = rows.select(*keep, *[value.alias(labels[name]) for name, (value, _) in wanted.items()])
+    reads = values.select(
+        *keep,
+        *[
+            column.alias(f"{label}_{part}")
+            for label in labels.values()
+            for part, column in _read(F.col(label))._asdict().items()
+        ],
+    )
+    return reads.select(
+        *keep,
+        *[
+            _coerce(Read(*[F.col(f"{labels[name]}_{part}") for part in Read._fields]), data_type).alias(name)
+            for name, (_, data_type) in wanted.items()
+        ],
+    )

@@ -18,6 +18,9 @@ UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
 
 RELATIVE = r"^(\d+)([smhdw])-(ago|ahead)$"
 ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+# The commonest form, which Spark's cast reads as it is, and a bare date.
+ISO_FULL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}([.]\d+)?(Z|[+-]\d{2}:\d{2})$"
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 GRANULARITY = r"^(\d+)([smhdw])$"
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -91,12 +94,12 @@ def iso_timestamp(text: Column) -> Column:
     # Spark's cast wants seconds and a colon in the offset; ISO text may leave both out.
     full = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
     full = F.regexp_replace(full, r"(:\d{2}[.]?\d*[+-]\d{2})(\d{2})$", "$1:$2")
-    zoned = (
-        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .when(full.rlike(r"(Z|[+-]\d{2}:\d{2})$"), full)
-        .otherwise(F.concat(full, F.lit("Z")))
+    zoned = F.when(full.rlike(r"(Z|[+-]\d{2}:\d{2})$"), full).otherwise(F.concat(full, F.lit("Z")))
+    return (
+        F.when(text.rlike(ISO_FULL), text.try_cast("timestamp"))
+        .when(text.rlike(ISO_DATE), F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp"))
+        .when(text.rlike(ISO), zoned.try_cast("timestamp"))
     )
-    return F.when(text.rlike(ISO), zoned.try_cast("timestamp"))
 
 
 def resolve_time_column(text: Column, now: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.functions.coercion import coerce
+from viewloom.functions.coercion import coerce_columns
 from viewloom.model import LIFECYCLE_COLUMNS, ViewDef
 
 ENVELOPE = ("space", "externalId", "external_id", "instanceType", "properties", "sources")
@@ -41,15 +41,24 @@ def item_schema(view: ViewDef) -> T.StructType:
     return T.StructType(fields)
 
 
+def _of_view_kind(items: Column, view: ViewDef) -> Column:
+    """Only nodes or only edges. This happens inside the array, so that no filter above parses the JSON again."""
+    return F.filter(
+        items, lambda i: i.isNotNull() & (F.coalesce(i["instanceType"], F.lit("node")) == view.instance_type)
+    )
+
+
 def unnest_pages(pages: DataFrame, view: ViewDef, page: str = "page") -> DataFrame:
     """Rows of ``item``, one per element of ``items``; a page without ``items`` gives no row."""
     schema = T.StructType([T.StructField("items", T.ArrayType(item_schema(view)))])
-    return pages.select(F.explode(F.from_json(F.col(page), schema)["items"]).alias("item"))
+    items = F.from_json(F.col(page), schema)["items"]
+    return pages.select(F.explode(_of_view_kind(items, view)).alias("item"))
 
 
 def parse_items(records: DataFrame, view: ViewDef, record: str = "record") -> DataFrame:
     """Rows of ``item`` from a table with one JSON record text per row."""
-    return records.select(F.from_json(F.col(record), item_schema(view)).alias("item"))
+    item = F.from_json(F.col(record), item_schema(view))
+    return records.select(F.explode(_of_view_kind(F.array(item), view)).alias("item"))
 
 
 def _json_path(*keys: str) -> str:
@@ -69,8 +78,10 @@ def nested_object(properties: Column, view: ViewDef) -> Column:
         lambda views: F.schema_of_variant(F.try_element_at(views, F.lit(view.view_key))).startswith("OBJECT"),
     )
     other = F.try_element_at(F.get(holders, 0), F.lit(view.view_key))
-    usable = F.schema_of_variant(own).startswith("OBJECT") & (F.schema_of_variant(own) != "OBJECT<>")
-    return F.when(usable, own).otherwise(other)
+    # Nearly always one of the first properties is there; the costlier look at the whole object is then skipped.
+    some = F.coalesce(*[F.try_variant_get(own, _json_path(p.source_key), "variant") for p in view.properties])
+    whole = F.schema_of_variant(own)
+    return F.when(some.isNotNull(), own).when(whole.startswith("OBJECT") & (whole != "OBJECT<>"), own).otherwise(other)
 
 
 def listed_objects(sources: Column, view: ViewDef) -> Column:
@@ -99,27 +110,28 @@ def resolve(items: DataFrame, view: ViewDef) -> DataFrame:
     Lookup structures are built once per row in the inner select; each column then costs one field access.
     """
     item = F.col("item")
-    wanted = F.coalesce(item["instanceType"], F.lit("node")) == view.instance_type
     top_level = [item[p.source_key].alias(f"top_{i}") for i, p in enumerate(view.properties)
                  if p.source_key not in ENVELOPE and p.source_key not in LIFECYCLE_COLUMNS]
-    prepared = items.where(wanted).select(
+    lifecycle = {c: (F.col(c), T.TimestampType()) for c in LIFECYCLE_COLUMNS}
+    found = items.select(
         item["space"].alias("space"),
         F.coalesce(F.nullif(item["externalId"], F.lit("")), item["external_id"]).alias("external_id"),
-        *[coerce(item[c], T.TimestampType()).alias(c) for c in LIFECYCLE_COLUMNS],
+        *[item[c].alias(c) for c in LIFECYCLE_COLUMNS],
         nested_object(item["properties"], view).alias("nested"),
         listed_objects(item["sources"], view).alias("listed"),
         F.try_variant_get(item["sources"], _json_path(view.view_key), "variant").alias("keyed"),
         *top_level,
     )
-    columns = []
+    values = {}
     for i, prop in enumerate(view.properties):
         path = _json_path(prop.source_key)
         candidates = [
-            _last_given(F.col("listed"), path),
+            F.when(F.col("listed").isNotNull(), _last_given(F.col("listed"), path)),
             _present(F.try_variant_get(F.col("keyed"), path, "variant")),
             _present(F.try_variant_get(F.col("nested"), path, "variant")),
         ]
-        if f"top_{i}" in prepared.columns:
+        if f"top_{i}" in found.columns:
             candidates.append(F.col(f"top_{i}"))
-        columns.append(coerce(F.coalesce(*candidates), prop.spark_type).alias(prop.name))
-    return prepared.select(*columns, "space", "external_id", *LIFECYCLE_COLUMNS)
+        values[prop.name] = (F.coalesce(*candidates), prop.spark_type)
+    resolved = coerce_columns(found, {**values, **lifecycle}, keep=("space", "external_id"))
+    return resolved.select(*values, "space", "external_id", *LIFECYCLE_COLUMNS)

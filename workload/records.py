@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.functions.coercion import coerce, relation_id
+from viewloom.functions.coercion import coerce_columns, relation_id
 from viewloom.functions.identity import instance_id_array, instance_id_struct
 from viewloom.functions.timing import resolve_time_column
 from viewloom.sources.payloads import unnest_payloads
@@ -152,7 +152,7 @@ def _with_sources(spark, sf_dir: str, sources: Column) -> DataFrame:
 
 def _coerced(rows: DataFrame, keys: list[str], json: Column, columns: dict[str, T.DataType]) -> DataFrame:
     parsed = rows.select(*keys, F.parse_json(json).alias("v"))
-    return parsed.select(*keys, *[coerce(F.col("v"), t).alias(name) for name, t in columns.items()])
+    return coerce_columns(parsed, {name: (F.col("v"), t) for name, t in columns.items()}, tuple(keys))
 
 
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -239,12 +239,13 @@ def coerce_arrays(spark, sf_dir):
     parsed = read(spark, sf_dir, "part").select(
         "p_partkey", F.parse_json(shaped(words)).alias("w"), F.parse_json(shaped_numbers).alias("n")
     )
-    total = F.aggregate(coerce(F.col("n"), T.ArrayType(T.LongType())), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return parsed.select(
-        "p_partkey",
-        F.array_join(coerce(F.col("w"), T.ArrayType(T.StringType())), "|").alias("tags"),
-        total.alias("total"),
+    lists = coerce_columns(
+        parsed,
+        {"w": (F.col("w"), T.ArrayType(T.StringType())), "n": (F.col("n"), T.ArrayType(T.LongType()))},
+        keep=("p_partkey",),
     )
+    total = F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return lists.select("p_partkey", F.array_join("w", "|").alias("tags"), total.alias("total"))
 
 
 def _quoted(text: Column) -> Column:
