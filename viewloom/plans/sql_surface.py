@@ -404,8 +404,14 @@ def series_function_ddl(source: str, ts_type: str, optional: set[str], temporary
         This condition stands above the aggregates, whose keys it is on: Spark pushes a literal id down to the scan,
         and turns the id of an outer row into a single join. Below them an outer id would cost a join per branch.
         """
-        parts = f"split({arg(function, 'instance_id')}, ':', 2)"
-        return f"space = trim({parts}[0]) AND external_id = trim({parts}[1])"
+        given = arg(function, "instance_id")
+        good = f"{given} IS NULL OR trim({given}) RLIKE '{INSTANCE_ID}'"
+        # The check sits inside the compared value: beside it, a bad literal id would fold away without an error.
+        checked = f"IF({good}, {given}, {bad_id.format(given).replace('AS BOOLEAN', 'AS STRING')})"
+        return (
+            f"space = trim(substring_index({checked}, ':', 1)) "
+            f"AND external_id = trim(substring({checked}, instr({given}, ':') + 1))"
+        )
 
     def wanted(function: str) -> str:
         """The (space, external_id) pairs of a comma list of ids; blanks are skipped."""
@@ -433,8 +439,6 @@ def series_function_ddl(source: str, ts_type: str, optional: set[str], temporary
 
     one, many = "time_series_datapoints_udtf", "time_series_datapoints_detailed_udtf"
     rolled, latest = "time_series_sql_udtf", "time_series_latest_datapoints_udtf"
-    own_id = arg(one, "instance_id")
-    good_id = f"IF({own_id} IS NULL OR trim({own_id}) RLIKE '{INSTANCE_ID}', true, {bad_id.format(own_id)})"
     ranged = (
         "`start` STRING DEFAULT '2w-ago', `end` STRING DEFAULT 'now', "
         "aggregates STRING DEFAULT NULL, granularity STRING DEFAULT NULL"
@@ -454,7 +458,7 @@ RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE) RETURN
     UNION ALL
     SELECT space, external_id, timestamp, value FROM ({aggregated(one, every_series(one, placed))})
       WHERE {arg(one, 'aggregates')} IS NOT NULL)
-  WHERE {named_series(one)} AND {pair(one)} AND {good_id}""",
+  WHERE {named_series(one)} AND {pair(one)}""",
         many: f"""{create} {many}(instance_ids STRING, {ranged})
 RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE, status_code INT, status_symbol STRING, external_id STRING, space STRING)
 RETURN

@@ -79,9 +79,9 @@ def nested_object(properties: Column, view: ViewDef) -> Column:
     )
     other = F.try_element_at(F.get(holders, 0), F.lit(view.view_key))
     # Nearly always one of the first properties is there; the costlier look at the whole object is then skipped.
-    some = F.coalesce(*[F.try_variant_get(own, _json_path(p.source_key), "variant") for p in view.properties])
+    some = [F.try_variant_get(own, _json_path(p.source_key), "variant") for p in view.properties]
     whole = F.schema_of_variant(own)
-    return F.when(some.isNotNull(), own).when(whole.startswith("OBJECT") & (whole != "OBJECT<>"), own).otherwise(other)
+    return F.when(F.coalesce(*some, F.lit(None)).isNotNull(), own).when(whole.startswith("OBJECT") & (whole != "OBJECT<>"), own).otherwise(other)
 
 
 def listed_objects(sources: Column, view: ViewDef) -> Column:
