@@ -35,10 +35,13 @@ CASES = {
         '"{space=s, externalId=e }"': "e", '["é", 1]': '["é", 1]', '[{"externalId": "a"}, "b"]': '["a", "b"]',
         '"[bad"': "[bad", "null": None, '"{other=1}"': "{other=1}", '{"k": "é"}': '{"k":"é"}',
         '["{space=s, externalId=q\\"x}"]': '["q\\"x"]',
+        '[{"externalId": "q\\"x"}, {"external_id": "y"}]': '["q\\"x", "y"]',
+        '[{"externalId": "a"}, {"external_id": "b"}]': '["a", "b"]', '[{"externalId": "a"}, {"k": 1}]': '["a", {"k":1}]',
+        '["externalId"]': '["externalId"]',
     },
     T.ArrayType(T.StringType()): {
         '["a", "b"]': ["a", "b"], '"[\\"a\\"]"': ["a"], '"[\\"[\\\\\\"a\\\\\\"]\\"]"': ["a"], '"a"': None, "[]": [],
-        '[{"externalId": "a"}, null, 1]': ["a", None, "1"], "5": None, "null": None,
+        '[{"externalId": "a"}, null, 1]': ["a", None, "1"], '[{"externalId": "a"}, {"external_id": "b"}]': ["a", "b"], "5": None, "null": None,
     },
     T.ArrayType(T.LongType()): {"[1, 2.5]": [1, 2], '["1", "x"]': [1, None], '"[1, 2]"': [1, 2]},
     T.ArrayType(T.TimestampType()): {'[1704103200000, "2024-01-01T10:00:00Z", null]': [TS, TS, None]},

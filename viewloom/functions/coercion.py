@@ -4,8 +4,9 @@ Rules: NULL and JSON null stay NULL; what cannot be read as the wanted type beco
 ``externalId``, or text such as ``{space=s, externalId=x}``) stands for its external id. All of it is built-in
 expressions, evaluated in the JVM.
 
-A rule looks at three things: the value, its JSON type and its text. :func:`coerce_columns` computes each of them
-once per value in a projection of its own; the rules then branch on the type, plain cases first.
+A rule looks at a value and at what :class:`Read` says of it. :func:`coerce_columns` computes each of those parts once
+per value in projections of their own, which also keeps the generated code of a rule small enough for the JVM to
+compile.
 """
 
 from __future__ import annotations
@@ -17,22 +18,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.functions.timing import iso_timestamp
+from viewloom.functions.timing import ISO_DATE, iso_timestamp
 
 # Texts that mean true, after trimming and lower-casing; every other text means false.
 TRUE_TEXTS = ("true", "1", "yes")
 
-NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+[.]?\d*|[.]\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
+NUMBER_TEXT = r"(?i)^[+-]?((\d+[.]?\d*|[.]\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
 RELATION_TEXT = r"externalId=([^,}]+)"
 MILLIS_PER_DAY = 86_400_000
 
 
 class Read(NamedTuple):
-    """A value with its JSON type name and its text (for objects and lists, their JSON text)."""
+    """A value with its JSON type name and its text (for objects and lists, their JSON text).
+
+    ``scalar`` is the text to read a scalar from, ``ids`` the external ids if the value is a list of relation objects.
+    """
 
     value: Column
     kind: Column
     text: Column
+    scalar: Column | None = None
+    ids: Column | None = None
 
     @property
     def is_text(self) -> Column:
@@ -55,12 +61,16 @@ def _read(value: Column) -> Read:
     return Read(value, F.schema_of_variant(value), F.try_variant_get(value, "$", "string"))
 
 
+PARTS = ("value", "kind", "text")
+
+
 def _as_struct(value: Column) -> Column:
-    return F.struct(*[column.alias(name) for name, column in _read(value)._asdict().items()])
+    read = _read(value)
+    return F.struct(*[getattr(read, part).alias(part) for part in PARTS])
 
 
 def _from_struct(read: Column) -> Read:
-    return Read(read["value"], read["kind"], read["text"])
+    return Read(*[read[part] for part in PARTS])
 
 
 def _looks_like_list(text: Column) -> Column:
@@ -91,67 +101,59 @@ def relation_id(value: Column) -> Column:
     return _relation_id(_read(value))
 
 
-def _scalar(read: Read, from_text: Callable[[Column], Column], otherwise: Column) -> Column:
-    """A scalar from a JSON text, from the id of a relation, or else from the value itself."""
-    return (
-        F.when(read.is_text & ~read.text.startswith("{"), from_text(read.text))
-        .when(read.is_text, from_text(F.coalesce(_id_in_text(read.text), read.text)))
-        .when(read.is_object, from_text(_id_in_object(read.value)))
-        .otherwise(otherwise)
+def _with_scalar(read: Read) -> Read:
+    """Adds the trimmed text of a JSON text or of a relation's id; NULL for any other JSON type."""
+    text = (
+        F.when(read.is_text & ~read.text.startswith("{"), read.text)
+        .when(read.is_text, F.coalesce(_id_in_text(read.text), read.text))
+        .when(read.is_object, _id_in_object(read.value))
     )
+    return read._replace(scalar=F.trim(text))
 
 
-def _long(read: Read) -> Column:
-    """Numbers are truncated towards zero; text must be an integer."""
+def _text_or_value(read: Read, from_text: Column, from_value: Column) -> Column:
+    return F.when(read.is_text | read.is_object, from_text).otherwise(from_value)
 
-    def from_text(text: Column) -> Column:
-        # Text with a fraction is no integer, although Spark's own cast would cut the fraction off.
-        return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint"))
 
-    return _scalar(read, from_text, F.try_variant_get(read.value, "$", "bigint"))
+def _long(read: Read) -> Column:
+    """Numbers are truncated towards zero; text must be an integer."""
+    # Text with a fraction is no integer, although Spark's own cast would cut the fraction off.
+    from_text = F.when(read.scalar.rlike(r"^[+-]?\d+$"), read.scalar.try_cast("bigint"))
+    return _text_or_value(read, from_text, F.try_variant_get(read.value, "$", "bigint"))
 
 
 def _double(read: Read) -> Column:
-    def from_text(text: Column) -> Column:
-        # The pattern keeps out Java's type suffixes ("1.5d"), and the cost of casts that fail.
-        return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
-
-    return _scalar(read, from_text, F.try_variant_get(read.value, "$", "double"))
+    # The pattern keeps out Java's type suffixes ("1.5d"), and the cost of casts that fail.
+    from_text = F.when(read.scalar.rlike(NUMBER_TEXT), read.scalar.try_cast("double"))
+    return _text_or_value(read, from_text, F.try_variant_get(read.value, "$", "double"))
 
 
 def _boolean(read: Read) -> Column:
     """Text is true only if it is one of ``TRUE_TEXTS``, else false; numbers are true unless zero."""
-
-    def from_text(text: Column) -> Column:
-        listed = F.when(_looks_like_list(text), F.to_json(F.try_parse_json(text)))
-        return F.coalesce(listed != "[]", F.lower(F.trim(text)).isin(*TRUE_TEXTS))
-
+    listed = F.when(_looks_like_list(read.scalar), F.to_json(F.try_parse_json(read.scalar)))
     return (
         F.when(read.kind == "BOOLEAN", F.try_variant_get(read.value, "$", "boolean"))
-        .when(read.is_list, read.text != "[]")
-        .when(read.is_object & _id_in_object(read.value).isNull(), read.text != "{}")
-        .otherwise(_scalar(read, from_text, F.try_variant_get(read.value, "$", "double") != 0))
+        .when(read.scalar.isNotNull(), F.coalesce(listed != "[]", F.lower(read.scalar).isin(*TRUE_TEXTS)))
+        .when(read.is_list | read.is_object, ~read.text.isin("[]", "{}"))
+        .otherwise(F.try_variant_get(read.value, "$", "double") != 0)
     )
 
 
 def _timestamp(read: Read) -> Column:
     """Numbers are epoch milliseconds (0 included); text is ISO 8601, UTC unless it has an offset."""
     millis = F.try_variant_get(read.value, "$", "bigint")
-    return _scalar(read, iso_timestamp, F.timestamp_millis(millis))
+    return _text_or_value(read, iso_timestamp(read.scalar), F.timestamp_millis(millis))
 
 
 def _date(read: Read) -> Column:
     """Epoch milliseconds in UTC, an ISO date, or an ISO timestamp cut to its date in its own offset."""
     days = F.floor(F.try_variant_get(read.value, "$", "bigint") / MILLIS_PER_DAY).cast("int")
-
-    def from_text(text: Column) -> Column:
-        text = F.trim(text)
-        day = F.substring(text, 1, 10).try_cast("date")
-        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), day).when(
-            F.substring(text, 11, 1) == "T", F.when(iso_timestamp(text).isNotNull(), day)
-        )
-
-    return _scalar(read, from_text, F.date_add(F.lit("1970-01-01").cast("date"), days))
+    day = F.substring(read.scalar, 1, 10).try_cast("date")
+    is_date = read.scalar.rlike(ISO_DATE)
+    is_time = (F.substring(read.scalar, 11, 1) == "T") & iso_timestamp(read.scalar).isNotNull()
+    return _text_or_value(
+        read, F.when(is_date | is_time, day), F.date_add(F.lit("1970-01-01").cast("date"), days)
+    )
 
 
 def _quoted(text: Column) -> Column:
@@ -164,14 +166,24 @@ def _may_hold_relations(json_text: Column) -> Column:
     return json_text.contains("externalId") | json_text.contains("external_id")
 
 
+def _with_ids(read: Read) -> Read:
+    """Adds the ids of a list of nothing but objects, by one cast of the whole list; NULL for anything else."""
+    objects = F.try_variant_get(read.value, "$", "array<struct<externalId: string, external_id: string>>")
+    ids = F.transform(objects, lambda o: F.coalesce(o["externalId"], o["external_id"]))
+    return read._replace(ids=F.when(read.is_list & _may_hold_relations(read.text), ids))
+
+
+def _all_relations(ids: Column) -> Column:
+    return (F.size(ids) > 0) & ~F.exists(ids, lambda i: i.isNull())
+
+
 def _json_list_text(listed: Column, json_text: Column) -> Column:
     """JSON text of a list in which each relation is replaced by its external id."""
 
     def rendered(item: Column) -> Column:
         read = _from_struct(item)
         plain = F.coalesce(F.to_json(read.value), F.lit("null"))
-        may_relate = read.is_object | (read.is_text & read.text.startswith("{"))
-        return F.when(may_relate, F.coalesce(_quoted(_relation_id(read)), plain)).otherwise(plain)
+        return F.when(_relation_id(read).isNotNull(), _quoted(_relation_id(read))).otherwise(plain)
 
     items = F.try_variant_get(listed, "$", "array<variant>")
     parts = F.when(
@@ -180,15 +192,25 @@ def _json_list_text(listed: Column, json_text: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
 
 
+def _json_ids_text(ids: Column) -> Column:
+    """JSON text of a list of ids; only quotes, backslashes and control characters need JSON's escaping."""
+    plain = F.concat(F.lit('["'), F.array_join(ids, '", "'), F.lit('"]'))
+    escaped = F.concat(F.lit("["), F.array_join(F.transform(ids, _quoted), ", "), F.lit("]"))
+    return F.when(F.array_join(ids, "").rlike(r'["\\\x00-\x1f]'), escaped).otherwise(plain)
+
+
 def _string(read: Read) -> Column:
     """Text as it is, relations as their external id, lists and objects as JSON text (non-ASCII kept)."""
     starts_list = F.ltrim(read.text).startswith("[")
+    listed = _json_list_text(read.value, read.text)
+    if read.ids is not None:
+        listed = F.when(_all_relations(read.ids), _json_ids_text(read.ids)).otherwise(listed)
     return (
         F.when(read.is_text & ~read.text.startswith("{") & ~starts_list, read.text)
         .when(read.is_text & starts_list, F.coalesce(_json_list_text(_list_from_text(read.text), read.text), read.text))
         .when(read.is_text, F.coalesce(_id_in_text(read.text), read.text))
         .when(read.is_object, F.coalesce(_id_in_object(read.value), read.text))
-        .when(read.is_list, _json_list_text(read.value, read.text))
+        .when(read.is_list, listed)
         .otherwise(read.text)
     )
 
@@ -219,7 +241,7 @@ def _array(read: Read, data_type: T.ArrayType) -> Column:
     rule = SCALAR_RULES[type(data_type.elementType)]
 
     def element(item: Column) -> Column:
-        part = _from_struct(item)
+        part = _with_scalar(_from_struct(item))
         return F.when(~part.is_null, rule(part))
 
     listed = _list_value(read)
@@ -227,7 +249,10 @@ def _array(read: Read, data_type: T.ArrayType) -> Column:
     if not isinstance(data_type.elementType, WHOLE_LIST_CASTS):
         return by_element
     whole = F.try_variant_get(listed, "$", data_type.simpleString())
-    return F.coalesce(F.when(~_may_hold_relations(read.text), whole), by_element)
+    whole = F.coalesce(F.when(~_may_hold_relations(read.text), whole), by_element)
+    if isinstance(data_type.elementType, T.StringType):
+        return F.when(_all_relations(read.ids), read.ids).otherwise(whole)
+    return whole
 
 
 def _coerce(read: Read, data_type: T.DataType) -> Column:
@@ -235,29 +260,50 @@ def _coerce(read: Read, data_type: T.DataType) -> Column:
     return F.when(~read.is_null, rule(read) if rule else _array(read, data_type))
 
 
+def _extra_part(data_type: T.DataType) -> str | None:
+    """The part of :class:`Read` that a type needs beyond the first three."""
+    element = data_type.elementType if isinstance(data_type, T.ArrayType) else data_type
+    if isinstance(element, T.StringType):
+        return "ids"
+    return None if isinstance(data_type, T.ArrayType) else "scalar"
+
+
 def coerce(value: Column, data_type: T.DataType) -> Column:
     """A VARIANT value as ``data_type``, which is one of the types a view property can have."""
-    return _coerce(_read(value), data_type)
+    return _coerce(_with_ids(_with_scalar(_read(value))), data_type)
 
 
 def coerce_columns(
     rows: DataFrame, wanted: Mapping[str, tuple[Column, T.DataType]], keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``keep`` and the wanted values, coerced. Values, and then their types and texts, are computed once each."""
+    """``keep`` and the wanted values, coerced. Values, then their types and texts, are computed once each."""
     labels = {name: f"_{i}" for i, name in enumerate(wanted)}
     values = rows.select(*keep, *[value.alias(labels[name]) for name, (value, _) in wanted.items()])
     reads = values.select(
         *keep,
         *[
-            column.alias(f"{label}_{part}")
+            getattr(_read(F.col(label)), part).alias(f"{label}_{part}")
             for label in labels.values()
-            for part, column in _read(F.col(label))._asdict().items()
+            for part in PARTS
         ],
     )
-    return reads.select(
-        *keep,
+
+    def parts(name: str) -> Read:
+        return Read(*[F.col(f"{labels[name]}_{part}") for part in PARTS])
+
+    extras = {name: _extra_part(data_type) for name, (_, data_type) in wanted.items()}
+    complete = reads.select(
+        "*",
         *[
-            _coerce(Read(*[F.col(f"{labels[name]}_{part}") for part in Read._fields]), data_type).alias(name)
-            for name, (_, data_type) in wanted.items()
+            getattr(_with_ids(_with_scalar(parts(name))), extra).alias(f"{labels[name]}_{extra}")
+            for name, extra in extras.items()
+            if extra
         ],
     )
+    columns = []
+    for name, (_, data_type) in wanted.items():
+        read, extra = parts(name), extras[name]
+        if extra:
+            read = read._replace(**{extra: F.col(f"{labels[name]}_{extra}")})
+        columns.append(_coerce(read, data_type).alias(name))
+    return complete.select(*keep, *columns)

@@ -90,16 +90,12 @@ def time_literal(moment: datetime, data_type: T.DataType) -> Column:
 
 def iso_timestamp(text: Column) -> Column:
     """ISO 8601 text to TIMESTAMP; without an offset it is UTC; anything else is NULL."""
-    text = F.trim(text)
-    # Spark's cast wants seconds and a colon in the offset; ISO text may leave both out.
+    # Spark's cast wants seconds, a colon in the offset and, to mean UTC in any session, an offset.
     full = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
     full = F.regexp_replace(full, r"(:\d{2}[.]?\d*[+-]\d{2})(\d{2})$", "$1:$2")
-    zoned = F.when(full.rlike(r"(Z|[+-]\d{2}:\d{2})$"), full).otherwise(F.concat(full, F.lit("Z")))
-    return (
-        F.when(text.rlike(ISO_FULL), text.try_cast("timestamp"))
-        .when(text.rlike(ISO_DATE), F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp"))
-        .when(text.rlike(ISO), zoned.try_cast("timestamp"))
-    )
+    full = F.regexp_replace(full, r"^(.{10}[T ]\d{2}:\d{2}:\d{2}([.]\d+)?)$", "$1Z")
+    full = F.regexp_replace(full, r"^(.{10})$", "$1T00:00:00Z")
+    return F.when(text.rlike(ISO_FULL), text.try_cast("timestamp")).when(text.rlike(ISO), full.try_cast("timestamp"))
 
 
 def resolve_time_column(text: Column, now: Column) -> Column:

@@ -168,8 +168,7 @@ LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
     FROM lineitem""")
 def coerce_scalars(spark, sf_dir):
     """In turn: an integer, integer text, a fraction, fraction text, a yes or no word, true, and null."""
-    quoted = lambda c: F.to_json(F.struct(c.cast("string").alias("x")))
-    as_text = lambda c: F.regexp_extract(quoted(c), r'^\{"x":(.*)\}$', 1)
+    as_text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     kind = F.pmod("l_partkey", F.lit(7))
     price, supplier = F.col("l_extendedprice"), F.col("l_suppkey")
     price_text = F.format_string("%.2f", price)
@@ -269,19 +268,18 @@ def relation_to_id(spark, sf_dir):
     return parsed.select("o_orderkey", relation_id(F.col("v")).alias("customer"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, '["part_' || l_partkey || '", "supplier_' || l_suppkey || '", '
-    || l_linenumber || ']' AS as_text, 'part_' || l_partkey || '|supplier_' || l_suppkey || '|' || l_linenumber
-    AS as_list FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, '["part_' || l_partkey || '", "supplier_' || l_suppkey || '"'
+    || CASE WHEN l_partkey % 8 = 0 THEN ', ' || l_linenumber ELSE '' END || ']' AS as_text,
+    'part_' || l_partkey || '|supplier_' || l_suppkey
+    || CASE WHEN l_partkey % 8 = 0 THEN '|' || l_linenumber ELSE '' END AS as_list FROM lineitem""")
 def relation_list_to_ids(spark, sf_dir):
-    json = F.concat(
-        F.lit('[{"space": "s", "externalId": "part_'),
-        "l_partkey",
-        F.lit('"}, "{space=s, externalId=supplier_'),
-        "l_suppkey",
-        F.lit('}", '),
-        "l_linenumber",
-        F.lit("]"),
+    """Lists of two relations; every eighth part has one of them as text, and a number after them."""
+    part = F.concat(F.lit('[{"space": "s", "externalId": "part_'), "l_partkey", F.lit('"}, '))
+    pair = F.concat(part, F.lit('{"space": "s", "externalId": "supplier_'), "l_suppkey", F.lit('"}]'))
+    mixed = F.concat(
+        part, F.lit('"{space=s, externalId=supplier_'), "l_suppkey", F.lit('}", '), "l_linenumber", F.lit("]")
     )
+    json = F.when(F.pmod("l_partkey", F.lit(8)) == 0, mixed).otherwise(pair)
     columns = {"as_text": T.StringType(), "as_list": T.ArrayType(T.StringType())}
     rows = _coerced(read(spark, sf_dir, "lineitem"), LINE_KEYS, json, columns)
     return rows.withColumn("as_list", F.array_join("as_list", "|"))
