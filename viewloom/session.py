@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # The session time zone makes timestamps without a zone mean UTC. The rest are Spark's adaptive features: they size
-# shuffle partitions by measured bytes and split partitions that hold a hot key.
+# shuffle partitions by measured bytes and split partitions that hold a hot key. Recording the Python line of
+# every expression is off: the wide projections of raw records have many thousands of them.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
