@@ -120,7 +120,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, batches
         placed = ids.select(
             F.col("doc_id").alias("__id"), row_tag(F.col("text")).alias("__tag"), F.posexplode(lines_of(F.col("text"))).alias("__pos", "__line")
         ).select("__id", "__tag", "__pos", key_hash(line_key(F.col("__line")), min_chars).alias("__hex"))
-        hits = placed.where(F.col("__hex").isNotNull()).withColumn("key", F.unhex("__hex")).join(runs.common(), "key")
+        hits = placed.where(F.col("__hex").isNotNull()).withColumn("key", F.unhex("__hex")).join(stored(runs.common(), f"{runs.path}/common"), "key")
         gone = (
             hits.where(~F.col("__id").eqNullSafe(F.col("keeper")))
             .groupBy("__id", "__tag")
