@@ -1,4 +1,4 @@
 """Operators for training corpora. Each module holds one operator, its registered query and the SQL to check it against."""
 
-from viewloom.llm import line_runs, ordinal_toxicity, poisson_mix, simhash_trees, url_rules, winnowing  # noqa: F401
+from viewloom.llm import line_runs, ordinal_toxicity, pii_votes, poisson_mix, simhash_trees, url_rules, winnowing  # noqa: F401
 from viewloom.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -101,13 +101,12 @@ def fingerprint_rows(docs: DataFrame, short_lengths: list[int]) -> DataFrame:
         "least",
         lambda x: F.struct(F.lit(0).alias("length"), place_of(x).alias("place"), F.get("g", place_of(x)).alias("fingerprint")),
     )
-    short = [
-        F.transform(
-            F.slice("w", 1, F.greatest(F.size("w") - n + 1, F.lit(0))),
-            lambda _, i, n=n: F.struct(F.lit(n).alias("length"), i.alias("place"), F.xxhash64(F.slice("w", i + 1, F.lit(n))).alias("fingerprint")),
-        )
-        for n in short_lengths
-    ]
+
+    def runs(n: int) -> Column:
+        one = lambda _, i: F.struct(F.lit(n).alias("length"), i.alias("place"), F.xxhash64(F.slice("w", i + 1, F.lit(n))).alias("fingerprint"))
+        return F.transform(F.slice("w", 1, F.greatest(F.size("w") - n + 1, F.lit(0))), one)
+
+    short = [runs(n) for n in short_lengths]
     rows = base.select("doc_id", "tag", "w", F.size("w").alias("n_words"), F.explode(F.concat(head, spans, *short)).alias("f"))
     first = F.greatest(F.col("f.place") - reach, F.lit(0))
     width = F.when(F.col("f.length") == 0, F.lit(2 * SPAN - K)).otherwise(F.lit(reach + SPAN))
