@@ -57,7 +57,7 @@ ACCEPT = 0.5
 LABELERS = ("form", "list", "context", "edge")
 #: Each labeler's chance to vote rightly: first guess, least and greatest. A number that fails its check digits is hardly
 #: ever a card, and a fitting number range or clean edges are never more than weak evidence, whatever agrees with them.
-CHANCES = ((0.9, 0.85, 0.93), (0.65, 0.5, 0.75), (0.9, 0.85, 0.97), (0.65, 0.5, 0.75))
+CHANCES = ((0.9, 0.85, 0.93), (0.6, 0.5, 0.65), (0.9, 0.85, 0.97), (0.6, 0.5, 0.65))
 
 
 def luhn(digits: Column) -> Column:

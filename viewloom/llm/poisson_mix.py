@@ -52,15 +52,15 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None) -> Da
     else:
         given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map().cast("map<string,double>")
         weighed = counts.withColumn("w", F.coalesce(given[F.coalesce("source", F.lit(""))].cast("double"), F.lit(0.0)))
-    sums = weighed.agg(F.sum("w").alias("all_w"), F.sum("n").alias("all_n"))
-    share = F.when(F.col("all_w") > 0, F.col("w") / F.col("all_w")).otherwise(F.lit(0.0))
-    return weighed.join(F.broadcast(sums)).select("source", "n", (share * F.col("all_n") / F.col("n")).alias("rate"))  # one row
+    all_w, all_n = weighed.agg(F.sum("w"), F.sum("n")).first()
+    rate = F.col("w") / F.lit(all_w) * F.lit(all_n) / F.col("n") if all_w else F.lit(0.0)
+    return weighed.select("source", "n", rate.alias("rate"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     """`docs` with each row repeated as often as drawn, in random order, and `copy` (from 1).
 
-    `weights` by source need not sum to one; without them, shares follow document counts to the power POWER. Rows that
+    `weights` by source are shared out among the sources that are there; without them, shares follow document counts to the power POWER. Rows that
     share a doc_id draw the same number; a row without one draws by its text. Null and empty texts are rows like others.
     An empty table gives an empty result. A column named `copy` is replaced; names beginning with `__` are reserved.
     """
