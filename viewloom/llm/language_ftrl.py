@@ -23,7 +23,7 @@ from viewloom.llm.common import query, table
 FEATURES = 1 << 14
 ORDERS = (1, 2, 3)
 #: Labelled documents that the weights are trained on, at most.
-SAMPLE = 8_000
+SAMPLE = 6_000
 #: Languages that are learned, at most: the most frequent in the sample.
 LANGUAGES = 200
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.05, 0.05, 3
@@ -76,12 +76,11 @@ def counts(text: str | None) -> np.ndarray:
     return found
 
 
-def tf_idf(found: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and values of the features of a text, of unit length."""
-    at = np.flatnonzero(found)
-    values = (1 + np.log(found[at])) * idf[at]
+def tf_idf(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Values, of unit length, of the features `at` that occur `n` times in a text."""
+    values = (1 + np.log(n)) * idf[at]
     norm = np.sqrt((values**2).sum())
-    return at, values / norm if norm > 0 else values
+    return values / norm if norm > 0 else values
 
 
 @dataclass
@@ -93,7 +92,8 @@ class Model:
     temperature: float
 
     def chances(self, found: np.ndarray) -> np.ndarray:
-        at, values = tf_idf(found, self.idf)
+        at = np.flatnonzero(found)
+        values = tf_idf(at, found[at], self.idf)
         return softmax((values @ self.weights[at] + self.bias) / self.temperature)
 
 
@@ -144,13 +144,14 @@ def temperature_of(scores: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def fit(found: list[np.ndarray], languages: list[str], idf: np.ndarray) -> Model:
-    """Fit on n-gram counts of rows with their languages; every fifth row is for the temperature only."""
+def fit(found: list[tuple[np.ndarray, np.ndarray]], languages: list[str], idf: np.ndarray) -> Model:
+    """Fit on the features of rows and how often they occur, with the rows' languages; every fifth row is for the
+    temperature only."""
     frequent = pd.Series(languages).value_counts(sort=False).sort_index().sort_values(ascending=False, kind="stable")
     names = sorted(frequent.index[:LANGUAGES])
     number = {name: i for i, name in enumerate(names)}
     use = [i for i, x in enumerate(languages) if x in number]
-    rows = [tf_idf(found[i], idf) for i in use]
+    rows = [(found[i][0], tf_idf(*found[i], idf).astype(np.float32)) for i in use]
     y = np.array([number[languages[i]] for i in use])
     back = np.arange(len(use)) % 5 == 4
     if back.all() or not back.any():
@@ -192,19 +193,15 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
             for text in batch.column("text"):
                 own = counts(text.as_py())
                 at.append(np.flatnonzero(own).astype(np.int32))
-                n.append(own[at[-1]])
-            arrays = [batch.column("lang"), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int64()))]
+                n.append(own[at[-1]].astype(np.int32))
+            arrays = [batch.column("lang"), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, ["lang", "at", "n"])
 
     # At most `sample` ids, so they can be broadcast; only the chosen documents' counts go to the driver.
     chosen = usable.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    got = usable.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "lang string, at array<int>, n array<bigint>").toArrow()
-    found = []
-    for at, n in zip(got.column("at"), got.column("n"), strict=True):
-        one = np.zeros(FEATURES, dtype=np.int64)
-        one[at.values.to_numpy()] = n.values.to_numpy()
-        found.append(one)
-    filled = [i for i, x in enumerate(found) if x.any()]
+    got = usable.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "lang string, at array<int>, n array<int>").toArrow()
+    found = [(at.values.to_numpy(), n.values.to_numpy()) for at, n in zip(got.column("at"), got.column("n"), strict=True)]
+    filled = [i for i, (at, _) in enumerate(found) if len(at)]
     if not filled:
         return None
     languages = got.column("lang").to_pylist()
