@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from oracle import connect, differences
+from workload import MODULES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def connection():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", [name for module in MODULES for name in module.QUERIES])
 def test_query(spark, connection, name):
     df = spark_entry.queries()[name](spark, SF)
     assert differences(df, connection, spark_entry.oracle_sql()[name]) == []

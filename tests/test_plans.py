@@ -8,6 +8,7 @@ import __spark_entry__ as spark_entry
 from viewloom.operators.aggregates import Metric, aggregate
 from viewloom.operators.filters import FilterSpec
 from viewloom.operators.scan import scan
+from workload import MODULES
 from workload.tables import ORDER_VIEW, orders
 
 SF = "/root/testdata/sf0.001"
@@ -63,10 +64,22 @@ def test_shuffles(spark, name, shuffles):
 
 
 def test_top_k_and_row_limit_do_not_sort_everything(spark):
-    for name in ("top_k", "group_cap", "tvf_row_limit"):
+    for name in ("top_k", "group_cap"):
         assert "TakeOrdered" in plan(spark_entry.queries()[name](spark, SF)), name
 
 
+def test_row_limits_have_one_plan_and_rank_one_bucket(spark):
+    shapes = []
+    for limit in (40, 1001, 100_000):
+        spark_entry.queries()["tvf_row_limit"](spark, SF)
+        text = plan(spark.sql(f"SELECT external_id, space FROM order_view_udtf(_row_limit => {limit})"))
+        text = re.sub(r"#\d+L?|plan_id=\d+|[(]\d+[)]|\b_\w+_\d+\b", "", text).replace(str(limit), "LIMIT")
+        shapes.append(re.sub(r"\d+", "", text))
+        for line in re.findall(r"Window .*", text):
+            assert "sum(_n" in line or "_bucket" in re.search(r"\], \[(.*?)\],", line).group(1), line
+    assert shapes[0] == shapes[1] == shapes[2]
+
+
 @pytest.mark.parametrize("name", ["lateral_sql", "lateral_sql_two_series", "lateral_sql_total_variation"])
 def test_laterals_become_hash_joins(spark, name):
     text = plan(spark_entry.queries()[name](spark, SF))
@@ -82,7 +95,7 @@ def test_literal_arguments_of_functions_reach_the_scan(spark):
 
 
 def test_no_python_and_no_cartesian_products_anywhere(spark):
-    for name, query in spark_entry.queries().items():
-        text = plan(query(spark, SF))
+    for name in [name for module in MODULES for name in module.QUERIES]:
+        text = plan(spark_entry.queries()[name](spark, SF))
         for part in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert part not in text, (name, part)

@@ -25,6 +25,7 @@ DATA = [
     ("MyBoat", "c1", 10, ["red", "big"], "2024-01-01", 7.5, True, "a", "b1"),
     ("Other", "c1", 20, ["blue"], "2024-02-01", 9.0, False, "a", "b2"),
     (None, "c2", None, None, None, None, None, "b", "b3"),
+    ("[C]", "c3", None, None, None, None, None, "c", "b4"),
 ]
 
 
@@ -46,8 +47,8 @@ def ids(spark, arguments):
 @pytest.mark.parametrize(
     ("arguments", "expected"),
     [
-        ("", ["b1", "b2", "b3"]),
-        ("NULL, NULL", ["b1", "b2", "b3"]),
+        ("", ["b1", "b2", "b3", "b4"]),
+        ("NULL, NULL", ["b1", "b2", "b3", "b4"]),
         ("'MyBoat'", ["b1"]),
         ("NULL, 'c1', NULL, 'blue'", ["b2"]),
         ("name => 'MyBoat'", ["b1"]),
@@ -66,9 +67,19 @@ def ids(spark, arguments):
         ("_gt => '{\"guid\": 10}'", ["b2"]),
         ("_gte => '{\"guid\": 10}', _lt => '{\"guid\": 20, \"length\": 8}'", ["b1"]),
         ("_lte => '{\"built\": \"2024-01-15T00:00:00Z\"}'", ["b1"]),
-        ("_row_limit => 2", ["b1", "b2"]),
+        ("name => '[A] pump'", []),
+        ("name => '[C]'", ["b4"]),
+        ("name => '[\"[C]\", \"MyBoat\"]'", ["b1", "b4"]),
+        ("_gt => '{\"guid\": 9.5}'", ["b1", "b2"]),
+        ("_lt => '{\"guid\": 10.5}'", ["b1"]),
+        ("_gte => '{\"guid\": 10.5}', _lte => '{\"guid\": 20.5}'", ["b2"]),
+        ("guid => '10.5'", []),
+        ("guid => '[10.5, 20]'", ["b2"]),
+        ("guid => '10.0'", ["b1"]),
+        ("_exists => 'class_', _not_exists => 'guid'", ["b3", "b4"]),
+        ("_exists => '[]'", ["b1", "b2", "b3", "b4"]),
         ("_row_limit => 0", []),
-        ("_row_limit => -1", ["b1", "b2", "b3"]),
+        ("_row_limit => -1", ["b1", "b2", "b3", "b4"]),
         ("_query_mode => 'LIST', name => 'Other'", ["b2"]),
     ],
 )
@@ -76,6 +87,30 @@ def test_list_mode(boats, arguments, expected):
     assert ids(boats, arguments) == expected
 
 
+@pytest.mark.parametrize("limit", [1, 2, 3, 4, 9])
+def test_row_limits_take_the_same_rows_again(boats, limit):
+    first = ids(boats, f"_row_limit => {limit}")
+    assert len(first) == min(limit, 4) and first == ids(boats, f"_row_limit => {limit}")
+    assert set(first) <= set(ids(boats, f"_row_limit => {limit + 1}"))
+
+
+@pytest.mark.parametrize(
+    ("arguments", "message"),
+    [
+        ("_exists => 'typo'", "lacks some name"),
+        ("_not_exists => '[\"name\", \"typo\"]'", "lacks some name"),
+        ("_gt => '{\"typo\": 5}'", "lacks some name"),
+        ("_lte => 'guid'", "no JSON object"),
+        ("_gt => '{\"guid\": '", "no JSON object"),
+        ("_group_by => 'class'", "no JSON list"),
+        ("_group_by => '[\"typo\"]'", "lacks some name"),
+    ],
+)
+def test_wrong_arguments_fail(boats, arguments, message):
+    with pytest.raises(Exception, match=message):
+        ids(boats, arguments)
+
+
 def test_same_columns_as_the_view(boats):
     assert boats.sql("SELECT * FROM small_boat_udtf()").schema.fieldNames() == VIEW.columns
     assert boats.sql("SELECT * FROM SmallBoat").schema.fieldNames() == VIEW.columns
@@ -92,14 +127,14 @@ COUNT = '{"fn": "count", "property": "externalId"}'
 
 def test_aggregate_mode(boats):
     [row] = aggregate(boats, f'[{COUNT}, {{"fn": "MAX", "property": "guid"}}, {{"fn": ""}}]').collect()
-    assert (row.external_id, row.guid, row.name, row.space) == ("3", 20, None, None)
+    assert (row.external_id, row.guid, row.name, row.space) == ("4", 20, None, None)
     [row] = aggregate(boats, f'[{COUNT}]', "name => 'nobody'").collect()
     assert row.external_id == "0"
     grouped = aggregate(boats, f'[{COUNT}, {{"fn": "min", "property": "length"}}]', "_group_by => '[\"class\", \"space\"]'")
     assert rows(grouped.select("class_", "space", "external_id", "length")) == [
-        ("c1", "a", "2", 7.5), ("c2", "b", "1", None)]
+        ("c1", "a", "2", 7.5), ("c2", "b", "1", None), ("c3", "c", "1", None)]
     by_id = aggregate(boats, '[{"fn": "count", "property": "name"}]', "_group_by => '[\"externalId\"]'")
-    assert rows(by_id.select("external_id", "name")) == [("b1", "1"), ("b2", "1"), ("b3", "0")]
+    assert rows(by_id.select("external_id", "name")) == [("b1", "1"), ("b2", "1"), ("b3", "0"), ("b4", "1")]
 
 
 @pytest.mark.parametrize(
@@ -119,6 +154,6 @@ def test_aggregate_checks(boats, metrics, message):
 
 def test_statements_for_a_catalog():
     assert view_ddl(VIEW, "db.boats", "db.small_boat", temporary=False).startswith(
-        "CREATE OR REPLACE VIEW db.small_boat AS SELECT `name`, `class_`")
-    assert "CREATE OR REPLACE FUNCTION small_boat_udtf(`name` STRING DEFAULT NULL" in view_function_ddl(
+        "CREATE OR REPLACE VIEW `db`.`small_boat` AS SELECT `name`, `class_`")
+    assert "CREATE OR REPLACE FUNCTION `small_boat_udtf`(`name` STRING DEFAULT NULL" in view_function_ddl(
         VIEW, "db.boats", temporary=False)

@@ -5,7 +5,6 @@ Every metric is a partial aggregate, so a hot group costs one row per task in th
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,11 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.model import IDENTITY_COLUMNS, LIFECYCLE_COLUMNS, ViewDef
-from viewloom.operators.filters import FilterSpec, condition
+from viewloom.operators.filters import Arguments, FilterSpec, condition
 
-# The limits of one aggregate call.
+# Fixed value: the metrics of one aggregate call, at most.
 MAX_METRICS = 5
-MAX_GROUPS = 1000
 
 FUNCTIONS = {"count": F.count, "min": F.min, "max": F.max}
 IDENTITY_KEYS = {"externalId": "external_id", "external_id": "external_id", "space": "space"}
@@ -31,6 +29,13 @@ class Metric:
     property: str
     alias: str | None = None
 
+    @classmethod
+    def of(cls, entry: object) -> Metric | None:
+        """A metric or a map with its fields, tidied up; None if it lacks a function or a property."""
+        fields = vars(entry) if isinstance(entry, Metric) else entry if isinstance(entry, Mapping) else {}
+        fn, prop = (str(fields.get(name) or "").strip() for name in ("fn", "property"))
+        return cls(fn.lower(), prop, fields.get("alias")) if fn and prop else None
+
     @property
     def counts_instances(self) -> bool:
         return self.fn == "count" and IDENTITY_KEYS.get(self.property) == "external_id"
@@ -42,20 +47,15 @@ class Metric:
 
 def parse_metrics(metrics: str | Iterable[Metric | Mapping[str, object]]) -> list[Metric]:
     """Metrics from a list or its JSON text. Entries without fn or property are skipped; none left is an error."""
-    given = json.loads(metrics) if isinstance(metrics, str) else list(metrics)
-    if not isinstance(given, list) or not given:
+    listed = Arguments.from_text(metrics, list) if isinstance(metrics, str) else list(metrics)
+    if not listed:
         raise ValueError("an aggregate needs a list of metrics")
-    if len(given) > MAX_METRICS:
-        raise ValueError(f"at most {MAX_METRICS} metrics in one aggregate, not {len(given)}")
-    parsed = []
-    for entry in given:
-        if isinstance(entry, Mapping):
-            entry = Metric(str(entry.get("fn") or ""), str(entry.get("property") or ""), entry.get("alias"))
-        if isinstance(entry, Metric) and entry.fn.strip() and entry.property.strip():
-            parsed.append(Metric(entry.fn.strip().lower(), entry.property.strip(), entry.alias))
-    if not parsed:
+    if len(listed) > MAX_METRICS:
+        raise ValueError(f"at most {MAX_METRICS} metrics in one aggregate, not {len(listed)}")
+    usable = [metric for metric in map(Metric.of, listed) if metric is not None]
+    if not usable:
         raise ValueError("none of the metrics is valid")
-    return parsed
+    return usable
 
 
 def _check(view: ViewDef, metric: Metric) -> None:
@@ -76,6 +76,13 @@ def _metric_column(view: ViewDef, metric: Metric) -> Column:
     return FUNCTIONS[metric.fn](F.col(view.require(metric.property).name))
 
 
+def _group_keys(group_by: str | Sequence[str]) -> Sequence[str]:
+    keys = Arguments.from_text(group_by, list) if isinstance(group_by, str) else group_by
+    if keys is None:
+        raise ValueError(f"group keys are a list of property names, not {group_by!r}")
+    return keys
+
+
 def _group_column(view: ViewDef, key: str) -> str:
     return IDENTITY_KEYS[key] if key in IDENTITY_KEYS and view.find(key) is None else view.require(key).name
 
@@ -95,8 +102,7 @@ def aggregate(
     parsed = parse_metrics(metrics)
     for metric in parsed:
         _check(view, metric)
-    given = json.loads(group_by) if isinstance(group_by, str) else group_by
-    keys = [_group_column(view, key) for key in given]
+    keys = [_group_column(view, key) for key in _group_keys(group_by)]
     rows = table.where(condition(view, spec, table.schema)) if spec is not None else table
     columns = [_metric_column(view, m).alias(m.name) for m in parsed]
     result = rows.groupBy(*keys).agg(*columns)
@@ -134,9 +140,8 @@ def as_view_rows(
     A metric sits in its property's column and the instance count, as text, in ``external_id``. Where several values
     want one column the last wins, group keys before metrics; ``space`` and ``external_id`` may be NULL here.
     """
-    given = json.loads(group_by) if isinstance(group_by, str) else group_by
     placed: dict[str, Column] = {}
-    for key in given:
+    for key in _group_keys(group_by):
         name = _group_column(view, key)
         placed[name] = F.col(name)
     for metric in parse_metrics(metrics):

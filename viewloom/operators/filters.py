@@ -13,40 +13,49 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.functions.timing import resolve_time, time_literal
-from viewloom.model import ViewDef
+from viewloom.functions.timing import as_utc, resolve_time, time_literal
+from viewloom.model import Property, ViewDef
 
 COMPARISONS = {"gt": gt, "gte": ge, "lt": lt, "lte": le}
 
 
-def _decode(value: object) -> object:
-    """Text that is a JSON list or object is decoded; anything else, other text included, stays as it is."""
-    if isinstance(value, str):
-        text = value.strip()
-        if text[:1] + text[-1:] in ("[]", "{}"):
-            try:
-                return json.loads(text)
-            except ValueError:
-                return value
-    return value
+class Arguments:
+    """Reads a caller's filter arguments against a view: Python values or JSON text, always with names the view has."""
 
+    def __init__(self, view: ViewDef, now: datetime | None = None) -> None:
+        self.view = view
+        self.now = as_utc(now) if now is not None else datetime.now(timezone.utc)  # one for all relative times of a call
 
-def _decode_list(value: object) -> object:
-    """As :func:`_decode`, but only lists: text that is a JSON object is an ordinary text to compare with."""
-    decoded = _decode(value)
-    return value if isinstance(decoded, Mapping) else decoded
-
-
-def _names(value: object) -> list[str]:
-    decoded = _decode(value)
-    if decoded is None or decoded == "":
-        return []
-    return [decoded] if isinstance(decoded, str) else [str(n) for n in decoded if n is not None]
-
-
-def _bounds(value: object) -> dict[str, object]:
-    decoded = _decode(value)
-    return {str(k): v for k, v in decoded.items() if v is not None} if isinstance(decoded, Mapping) else {}
+    @staticmethod
+    def from_text(text: str, kind: type) -> object | None:
+        """The JSON value of a text if it is of the given kind; None for any other text."""
+        try:
+            value = json.loads(text)
+        except ValueError:
+            return None
+        return value if isinstance(value, kind) else None
+
+    def alternatives(self, value: object) -> list[object] | None:
+        """The values of a list, without NULLs; None for a single value, which text is unless it is a JSON list."""
+        if isinstance(value, str):
+            value = self.from_text(value, list)
+        return [v for v in value if v is not None] if isinstance(value, (list, tuple, set, frozenset)) else None
+
+    def properties(self, value: object) -> list[Property]:
+        """The properties that one name or a list of names stands for."""
+        if value is None or value == "":
+            return []
+        names = self.alternatives(value)
+        return [self.view.require(str(name)) for name in ([value] if names is None else names)]
+
+    def bounds(self, value: object) -> list[tuple[Property, object]]:
+        """Properties with their bounds from a map of names to values; NULL bounds are left out."""
+        if value is None or value == "":
+            return []
+        given = self.from_text(value, dict) if isinstance(value, str) else value
+        if not isinstance(given, Mapping):
+            raise ValueError(f"bounds are a map of property names to values, not {value!r}")
+        return [(self.view.require(str(name)), bound) for name, bound in given.items() if bound is not None]
 
 
 @dataclass(frozen=True)
@@ -64,7 +73,7 @@ class FilterSpec:
     lte: object = None
 
 
-def literal(value: object, data_type: T.DataType) -> Column:
+def literal(value: object, data_type: T.DataType, now: datetime | None = None) -> Column:
     """A literal of the column's own type, so that no cast lands on the column and blocks pushdown."""
     if value is None:
         return F.lit(None).cast(data_type)
@@ -72,7 +81,7 @@ def literal(value: object, data_type: T.DataType) -> Column:
         if isinstance(value, datetime):
             moment = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
         else:
-            moment = resolve_time(value)
+            moment = resolve_time(value, now)
         return time_literal(moment, data_type)
     if isinstance(data_type, T.DateType):
         if isinstance(value, datetime):
@@ -94,46 +103,41 @@ def literal(value: object, data_type: T.DataType) -> Column:
     return F.lit(value if isinstance(value, str) else str(value))
 
 
-def _equal_or_in(column: Column, value: object, data_type: T.DataType) -> Column:
-    decoded = _decode_list(value)
-    if not isinstance(decoded, (list, tuple, set)):
-        return column == literal(decoded, data_type)
-    values = [v for v in decoded if v is not None]
-    if not values:
+def _equal_or_in(column: Column, value: object, data_type: T.DataType, arguments: Arguments) -> Column:
+    options = arguments.alternatives(value)
+    if options is None:
+        return column == literal(value, data_type, arguments.now)
+    if not options:
         return F.lit(False)
-    return column.isin(*[literal(v, data_type) for v in values]) if len(values) > 1 else (
-        column == literal(values[0], data_type)
-    )
+    wanted = [literal(v, data_type, arguments.now) for v in options]
+    return column == wanted[0] if len(wanted) == 1 else column.isin(*wanted)
 
 
-def _contains_any(column: Column, value: object, data_type: T.ArrayType) -> Column:
-    decoded = _decode_list(value)
-    values = list(decoded) if isinstance(decoded, (list, tuple, set)) else [decoded]
-    wanted = F.array(*[literal(v, data_type.elementType) for v in values if v is not None])
+def _contains_any(column: Column, value: object, data_type: T.ArrayType, arguments: Arguments) -> Column:
+    options = arguments.alternatives(value)
+    wanted = F.array(*[literal(v, data_type.elementType, arguments.now) for v in ([value] if options is None else options)])
     return F.coalesce(F.arrays_overlap(column, wanted.cast(data_type)), F.lit(False))
 
 
-def condition(view: ViewDef, spec: FilterSpec, schema: T.StructType) -> Column:
-    """The conjunction of the spec's conditions; true if there are none. ``schema`` is that of the filtered table."""
-
-    def typed(key: str) -> tuple[Column, T.DataType]:
-        name = view.require(key).name
-        return F.col(name), schema[name].dataType
+def condition(view: ViewDef, spec: FilterSpec, schema: T.StructType, now: datetime | None = None) -> Column:
+    """The conjunction of the spec's conditions; true if there are none. ``schema`` is that of the filtered table.
 
+    Names that the view lacks and bounds that are no map are errors. Relative times are all relative to one ``now``.
+    """
+    arguments = Arguments(view, now)
     conjuncts: list[Column] = []
     for key, value in spec.equals.items():
-        if value is None:
-            continue
-        column, data_type = typed(key)
-        build = _contains_any if isinstance(data_type, T.ArrayType) else _equal_or_in
-        conjuncts.append(build(column, value, data_type))
-    conjuncts += [typed(key)[0].isNotNull() for key in _names(spec.exists)]
-    conjuncts += [typed(key)[0].isNull() for key in _names(spec.not_exists)]
+        name = view.require(key).name
+        if value is not None:
+            data_type = schema[name].dataType
+            build = _contains_any if isinstance(data_type, T.ArrayType) else _equal_or_in
+            conjuncts.append(build(F.col(name), value, data_type, arguments))
+    conjuncts += [F.col(prop.name).isNotNull() for prop in arguments.properties(spec.exists)]
+    conjuncts += [F.col(prop.name).isNull() for prop in arguments.properties(spec.not_exists)]
     for name, value in (("space", spec.instance_space), ("external_id", spec.external_id)):
         if value is not None:
-            conjuncts.append(_equal_or_in(F.col(name), value, schema[name].dataType))
+            conjuncts.append(_equal_or_in(F.col(name), value, schema[name].dataType, arguments))
     for operation, compare in COMPARISONS.items():
-        for key, bound in _bounds(getattr(spec, operation)).items():
-            column, data_type = typed(key)
-            conjuncts.append(compare(column, literal(bound, data_type)))
+        for prop, bound in arguments.bounds(getattr(spec, operation)):
+            conjuncts.append(compare(F.col(prop.name), literal(bound, schema[prop.name].dataType, arguments.now)))
     return reduce(and_, conjuncts) if conjuncts else F.lit(True)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from viewloom.functions.timing import ISO, RELATIVE, UNIT_SECONDS
 from viewloom.model import IDENTITY_COLUMNS, LIFECYCLE_COLUMNS, Property, ViewDef, function_name_for
-from viewloom.operators.aggregates import MAX_GROUPS, MAX_METRICS
+from viewloom.operators.aggregates import MAX_METRICS
 from viewloom.operators.rollups import AGGREGATES, GRID_BUCKETS, GRIDDED, MICROS, ORDERED, PLAIN, SQL_AGGREGATES, STRETCH
 
 # The parameters that follow the property parameters of every view function, in order.
@@ -34,6 +34,10 @@ PUSHDOWN_PARAMETERS = {
 }
 COMPARISONS = {"_gt": ">", "_gte": ">=", "_lt": "<", "_lte": "<="}
 METRICS_TYPE = "array<struct<fn: string, property: string>>"
+# What integers are compared as where a fraction may turn up.
+EXACT = "decimal(38,9)"
+# Row limits are met by hash buckets of the instances: whole ones as far as they fit, and part of one more.
+LIMIT_BUCKETS = 16384
 
 
 def _name(name: str) -> str:
@@ -44,11 +48,16 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _qualified(name: str) -> str:
+    """A name of one or more parts, each quoted unless it is already."""
+    return name if "`" in name else ".".join(_name(part) for part in name.split("."))
+
+
 def view_ddl(view: ViewDef, source: str, name: str | None = None, temporary: bool = True) -> str:
     """A SQL view with the view's columns, unfiltered; conditions above it are pushed down by Spark."""
     columns = ", ".join(_name(c) for c in view.columns)
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
-    return f"CREATE OR REPLACE {kind} {name or view.external_id} AS SELECT {columns} FROM {source}"
+    return f"CREATE OR REPLACE {kind} {_qualified(name or view.external_id)} AS SELECT {columns} FROM {source}"
 
 
 def create_view(spark: SparkSession, view: ViewDef, source: str, name: str | None = None) -> None:
@@ -68,48 +77,100 @@ class _ViewFunction:
         self.view, self.source, self.name = view, source, name
 
     def parameter(self, name: str) -> str:
-        return f"{_name(self.name)}.{_name(name)}"
+        return f"{_name(self.name.split('.')[-1])}.{_name(name)}"
+
+    def list_in(self, given: str, element: str = "STRING") -> str:
+        """A text that is a JSON list as an array; NULL for any other text. No lambdas: literals must fold."""
+        listed = f"IF(trim({given}) LIKE '[%]', from_json({given}, 'array<string>'), NULL)"
+        return listed if element == "STRING" else f"try_cast({listed} AS ARRAY<{element}>)"
 
     def names_in(self, name: str) -> str:
         """A parameter with one name or a JSON list of names, as an array."""
         given = self.parameter(name)
-        return f"IF(startswith(ltrim({given}), '['), from_json({given}, 'array<string>'), array({given}))"
+        return f"coalesce({self.list_in(given)}, array({given}))"
+
+    def names_of(self, prop: Property) -> list[str]:
+        """What a caller may call a property: its key, and its column where that differs."""
+        return list(dict.fromkeys([prop.source_key, prop.name]))
+
+    def lists_any(self, listed: str, names: list[str]) -> str:
+        return "(" + " OR ".join(f"array_contains({listed}, {_text(name)})" for name in names) + ")"
 
     def is_or_in(self, column: str, given: str, data_type: T.DataType) -> str:
-        """No condition for NULL, membership for a JSON list, else equality with the text cast to the column's type."""
-        sql_type = data_type.simpleString()
+        """No condition for NULL, membership for a JSON list, else equality with the text in the column's type.
+
+        Beside the membership stand its least and greatest value, which reach the scan. Integers are compared as
+        decimals, as a fraction equals none of them.
+        """
+        sql_type, compared = data_type.simpleString(), column
+        single = f"{column} = CAST({given} AS {sql_type})"
+        if isinstance(data_type, (T.LongType, T.IntegerType)):
+            number = f"CAST({given} AS {EXACT})"
+            single = f"IF({number} = floor({number}), {column} = CAST(floor({number}) AS {sql_type}), false)"
+            sql_type, compared = EXACT, f"CAST({column} AS {EXACT})"
+        listed = self.list_in(given, "STRING" if sql_type == "string" else sql_type)
+        least, most = (f"CAST({f}({listed}) AS {data_type.simpleString()})" for f in ("array_min", "array_max"))
+        if sql_type == EXACT:
+            least, most = (f"CAST({r}({f}({listed})) AS {data_type.simpleString()})" for r, f in (("floor", "array_min"), ("ceil", "array_max")))
         return (
-            f"CASE WHEN {given} IS NULL THEN true "
-            f"WHEN startswith(ltrim({given}), '[') THEN array_contains(from_json({given}, 'array<{sql_type}>'), {column}) "
-            f"ELSE {column} = CAST({given} AS {sql_type}) END"
+            f"CASE WHEN {given} IS NULL THEN true WHEN {self.list_in(given)} IS NULL THEN {single} "
+            f"ELSE {column} >= {least} AND {column} <= {most} AND array_contains({listed}, {compared}) END"
         )
 
+    def bound(self, column: str, sign: str, value: str, data_type: T.DataType) -> str:
+        """A comparison with a bound. For integers a fraction is first rounded to the side that keeps the meaning."""
+        sql_type = data_type.simpleString()
+        if isinstance(data_type, (T.LongType, T.IntegerType)):
+            side = "floor" if sign in (">", "<=") else "ceil"
+            return f"{column} {sign} CAST({side}(CAST({value} AS {EXACT})) AS {sql_type})"
+        return f"{column} {sign} CAST({value} AS {sql_type})"
+
     def property_conditions(self, prop: Property) -> list[str]:
-        column, key, given = f"t.{_name(prop.name)}", _text(prop.source_key), self.parameter(prop.name)
+        column, names, given = f"t.{_name(prop.name)}", self.names_of(prop), self.parameter(prop.name)
         data_type = prop.spark_type
         conditions = [
-            f"({self.parameter('_exists')} IS NULL OR NOT array_contains({self.names_in('_exists')}, {key}) "
-            f"OR {column} IS NOT NULL)",
-            f"({self.parameter('_not_exists')} IS NULL OR NOT array_contains({self.names_in('_not_exists')}, {key}) "
-            f"OR {column} IS NULL)",
+            f"({self.parameter(p)} IS NULL OR NOT {self.lists_any(self.names_in(p), names)} OR {column} IS {kept})"
+            for p, kept in (("_exists", "NOT NULL"), ("_not_exists", "NULL"))
         ]
         if isinstance(data_type, T.ArrayType):
             element = data_type.elementType.simpleString()
-            wanted = (
-                f"IF(startswith(ltrim({given}), '['), from_json({given}, 'array<{element}>'), "
-                f"array(CAST({given} AS {element})))"
-            )
+            listed = self.list_in(given, "STRING" if element == "string" else element)
+            wanted = f"IF({self.list_in(given)} IS NULL, array(CAST({given} AS {element})), {listed})"
             return [*conditions, f"({given} IS NULL OR arrays_overlap({column}, {wanted}))"]
         conditions.append(self.is_or_in(column, given, data_type))
-        for bound, sign in COMPARISONS.items():
-            value = f"from_json({self.parameter(bound)}, 'map<string,string>')[{key}]"
-            conditions.append(
-                f"({value} IS NULL OR {column} {sign} CAST({value} AS {data_type.simpleString()}))"
-            )
+        for name, sign in COMPARISONS.items():
+            bounds = f"from_json({self.parameter(name)}, 'map<string,string>')"
+            value = "coalesce(" + ", ".join(f"{bounds}[{_text(n)}]" for n in names) + ", NULL)"
+            conditions.append(f"({value} IS NULL OR {self.bound(column, sign, value, data_type)})")
         return conditions
 
+    def guards(self) -> list[str]:
+        """Names that the view lacks, and text that should be JSON but isn't, fail the call; nothing is left of these
+        conditions in the plan of a call that is right."""
+        known = ", ".join(_text(n) for p in self.view.properties for n in self.names_of(p))
+        known = f"array({known})" if known else "CAST(array() AS array<string>)"
+        fail = "CAST(raise_error(concat({0}, {1})) AS BOOLEAN)"
+        unknown = _text(f"view {self.view.view_key} lacks some name in ")
+        checks = []
+
+        def check(name: str, names: str, allowed: str, shape: str | None) -> None:
+            given = self.parameter(name)
+            malformed = f"WHEN {names} IS NULL THEN {fail.format(_text(shape), given)} " if shape else ""
+            checks.append(
+                f"CASE WHEN {given} IS NULL THEN true {malformed}"
+                f"WHEN size(array_except({names}, {allowed})) > 0 THEN {fail.format(unknown, given)} ELSE true END"
+            )
+
+        for name in ("_exists", "_not_exists"):
+            check(name, self.names_in(name), known, None)
+        for name in COMPARISONS:
+            check(name, f"map_keys(from_json({self.parameter(name)}, 'map<string,string>'))", known, f"{name} is no JSON object: ")
+        keys = f"concat({known}, array('space', 'externalId', 'external_id'))"
+        check("_group_by", f"from_json({self.parameter('_group_by')}, 'array<string>')", keys, "_group_by is no JSON list: ")
+        return checks
+
     def condition(self) -> str:
-        parts = [c for prop in self.view.properties for c in self.property_conditions(prop)]
+        parts = [*self.guards(), *(c for prop in self.view.properties for c in self.property_conditions(prop))]
         parts.append(self.is_or_in("t.space", self.parameter("instance_space"), T.StringType()))
         parts.append(self.is_or_in("t.external_id", self.parameter("external_id"), T.StringType()))
         return "\n      AND ".join(parts)
@@ -147,7 +208,7 @@ class _ViewFunction:
         return " OR ".join(f"array_contains({listed}, {_text(key)})" for key in keys)
 
     def group_keys(self) -> list[str]:
-        keys = [f"CASE WHEN {self.grouped(p.source_key)} THEN t.{_name(p.name)} END" for p in self.view.properties]
+        keys = [f"CASE WHEN {self.grouped(*self.names_of(p))} THEN t.{_name(p.name)} END" for p in self.view.properties]
         keys.append(f"CASE WHEN {self.grouped('space')} THEN t.space END")
         keys.append(f"CASE WHEN {self.grouped('externalId', 'external_id')} THEN t.external_id END")
         return keys
@@ -191,19 +252,27 @@ class _ViewFunction:
         nothing = ["CAST(NULL AS STRING)"] * 2
         none = [f"CAST(NULL AS {p.spark_type.simpleString()})" for p in view.properties] + nothing
         keys = self.group_keys()
-        # A limit is a rank over the identity; Spark turns a constant bound on it into a distributed top-n.
+        # Any rows meet a limit, but the same ones every time: buckets are counted, and only rows of the one bucket that
+        # the limit cuts are ranked. The one window without a partition is over the buckets' counts.
+        limited = f"NOT ({mode}) AND coalesce({limit}, -1) >= 0\n      AND {condition}"
+        bucket = f"CAST(pmod(xxhash64(t.space, t.external_id), {LIMIT_BUCKETS}) AS INT)"
+        counted = f"SELECT {bucket} AS _bucket, count(1) AS _n FROM {self.source} t WHERE {limited} GROUP BY 1"
+        filled = f"SELECT _bucket, _n, sum(_n) OVER (ORDER BY _bucket) AS _upto FROM ({counted})"
+        rows = f"SELECT {plain}, {bucket} AS _bucket FROM {self.source} t WHERE {limited}"
         return f"""
-CREATE OR REPLACE {'TEMPORARY FUNCTION' if temporary else 'FUNCTION'} {self.name}({', '.join(parameters)})
+CREATE OR REPLACE {'TEMPORARY FUNCTION' if temporary else 'FUNCTION'} {_qualified(self.name)}({', '.join(parameters)})
 RETURNS TABLE({returns})
 RETURN
   SELECT {plain} FROM {self.source} t
     WHERE NOT ({mode}) AND coalesce({limit}, -1) < 0
       AND {condition}
   UNION ALL
+  SELECT {names} FROM ({rows}) JOIN ({filled}) USING (_bucket) WHERE _upto <= {limit}
+  UNION ALL
   SELECT {names} FROM (
-    SELECT {plain}, row_number() OVER (ORDER BY t.space, t.external_id) AS _rank FROM {self.source} t
-    WHERE NOT ({mode}) AND coalesce({limit}, -1) >= 0
-      AND {condition}) WHERE _rank <= {limit}
+    SELECT *, row_number() OVER (PARTITION BY _bucket ORDER BY space, external_id) AS _rank
+    FROM ({rows}) JOIN (SELECT * FROM ({filled}) WHERE _upto > {limit} AND _upto - _n < {limit}) USING (_bucket))
+    WHERE _rank <= {limit} - (_upto - _n)
   UNION ALL
   SELECT {names} FROM (
     SELECT {', '.join(self.metric_columns(none))} FROM {self.source} t
@@ -214,7 +283,7 @@ RETURN
     SELECT {', '.join(self.metric_columns(keys))} FROM {self.source} t
     WHERE {mode} AND NOT ({no_groups}) AND {self.checked()}
       AND {condition}
-    GROUP BY {', '.join(keys)} LIMIT {MAX_GROUPS})"""
+    GROUP BY {', '.join(keys)})"""
 
 
 def view_function_ddl(view: ViewDef, source: str, name: str | None = None, temporary: bool = True) -> str:

@@ -81,11 +81,34 @@ _register(
     f"""SELECT external_id, array_to_string(tags, ' ') AS tags FROM {PARTS_SQL}
     WHERE list_has_any(tags, ['red', 'blue']) AND size < 20""",
 )
-_register(
+_register(  # any rows may come, so they are counted: no row twice, and all of them rows of the view
     "tvf_row_limit",
     ORDER_TABLE,
-    "SELECT external_id, space FROM order_view_udtf(status => 'P', _row_limit => 40)",
-    f"SELECT external_id, space FROM {ORDERS_SQL} WHERE status = 'P' ORDER BY space, external_id LIMIT 40",
+    """SELECT 40 AS limit, count(*) AS total_rows, count(DISTINCT l.space, l.external_id) AS instances, count(o.external_id) AS known
+      FROM order_view_udtf(_row_limit => 40) l LEFT JOIN OrderView o ON o.space = l.space AND o.external_id = l.external_id
+    UNION ALL SELECT 5000, count(*), count(DISTINCT l.space, l.external_id), count(o.external_id)
+      FROM order_view_udtf(_row_limit => 5000) l LEFT JOIN OrderView o ON o.space = l.space AND o.external_id = l.external_id""",
+    f"""SELECT n AS limit, least(n, t) AS total_rows, least(n, t) AS instances, least(n, t) AS known
+    FROM (SELECT unnest([40, 5000]) AS n, (SELECT count(*) FROM {ORDERS_SQL}) AS t)""",
+)
+_register(
+    "tvf_list_like_text",
+    ORDER_TABLE,
+    """SELECT 'broken' AS kind, external_id FROM order_view_udtf('[F', _gt => '{"totalPrice": 1}')
+    UNION ALL SELECT 'unquoted', external_id FROM order_view_udtf('[F]')
+    UNION ALL SELECT 'list', external_id FROM order_view_udtf(' ["F"]', _gt => '{"totalPrice": 400000}')""",
+    f"""SELECT 'list' AS kind, external_id FROM {ORDERS_SQL} WHERE status = 'F' AND "totalPrice" > 400000
+    UNION ALL SELECT 'unquoted', external_id FROM {ORDERS_SQL} WHERE status = '[F]'
+    UNION ALL SELECT 'broken', external_id FROM {ORDERS_SQL} WHERE status = '[F'""",
+)
+_register(
+    "tvf_fraction_bound",
+    ORDER_TABLE,
+    """SELECT clerk, count(*) AS total_rows FROM order_view_udtf(_gt => '{"clerk": 2.5}', _lte => '{"clerk": 6.5}') GROUP BY clerk
+    UNION ALL SELECT -1, count(*) FROM order_view_udtf(clerk => '4.5')
+    UNION ALL SELECT -2, count(*) FROM order_view_udtf(clerk => '[4.5, 7]')""",
+    f"""SELECT clerk, count(*) AS total_rows FROM {ORDERS_SQL} WHERE clerk > 2.5 AND clerk <= 6.5 GROUP BY clerk
+    UNION ALL SELECT -1, 0 UNION ALL SELECT -2, count(*) FROM {ORDERS_SQL} WHERE clerk = 7""",
 )
 _register(
     "tvf_aggregate",
@@ -107,6 +130,14 @@ _register(
     f"""SELECT class_, space, CAST(count(*) AS VARCHAR) AS external_id, min("totalPrice") AS "totalPrice"
     FROM {ORDERS_SQL} GROUP BY class_, space""",
 )
+_register(
+    "tvf_aggregate_grouped_many",
+    ORDER_TABLE,
+    """SELECT customer, external_id, totalPrice FROM order_view_udtf(_query_mode => 'aggregate', _aggregates =>
+    '[{"fn": "count", "property": "externalId"}, {"fn": "max", "property": "totalPrice"}]', _group_by => '["customer"]')""",
+    f"""SELECT customer, CAST(count(*) AS VARCHAR) AS external_id, max("totalPrice") AS "totalPrice"
+    FROM {ORDERS_SQL} GROUP BY customer""",
+)
 _register(
     "tvf_series",
     POINT_TABLE,
