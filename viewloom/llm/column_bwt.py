@@ -36,6 +36,8 @@ WIDTH = 2 * SPAN - K
 #: Bytes of text in a chunk, and of all text for each bucket of hashes.
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
+#: Windows whose hashes are held at once.
+SLICE = 1 << 17
 LAST = (1 << 63) - 1
 
 U64 = np.uint64
@@ -76,22 +78,22 @@ class Runs:
         self.begins = np.r_[0, np.cumsum(lengths)]
         self.data = np.frombuffer(b"".join(texts), dtype=np.uint8)
         n = len(self.data)
-        empty = np.zeros(0, dtype=np.int64)
-        self.first = self.last = self.anchor = self.doc = empty
-        self.hash = np.zeros(0, dtype=U64)
-        if n < SPAN:
-            return
-        starts = np.flatnonzero(np.arange(n) + SPAN <= np.repeat(self.begins[1:], lengths))
+        ends = np.repeat(self.begins[1:], lengths)
+        parts = [self._slice(at, min(at + SLICE, n - SPAN + 1), ends) for at in range(0, n - SPAN + 1, SLICE)]
+        joined = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, U64)]
+        self.first, self.last, self.anchor, self.hash = joined
+        self.doc = np.searchsorted(self.begins, self.first, "right") - 1
+
+    def _slice(self, low: int, high: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The runs of the windows that start in [low, high). A run that goes on beyond is two, which does no harm."""
+        starts = np.flatnonzero(np.arange(low + SPAN, high + SPAN) <= ends[low:high])
         if not len(starts):
-            return
-        hashes = gram_hashes(self.data)
+            return starts, starts, starts, np.zeros(0, dtype=U64)
+        hashes = gram_hashes(self.data[low : high + SPAN - 1])
         packed = (hashes >> U64(32) << U64(32)) | np.arange(len(hashes), dtype=U64)  # of equal hashes the first is the least
         anchor = (sliding_least(packed, SPAN - K + 1)[starts] & U64(0xFFFFFFFF)).astype(np.int64)
         new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        self.anchor = anchor[new]
-        self.first, self.last = starts[new], starts[np.r_[new[1:] - 1, len(starts) - 1]]
-        self.doc = np.searchsorted(self.begins, self.first, "right") - 1
-        self.hash = hashes[self.anchor]
+        return low + starts[new], low + starts[np.r_[new[1:] - 1, len(starts) - 1]], low + anchor[new], hashes[anchor[new]]
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes ascending, the number of each run's hash among them, and whether several documents have it."""
@@ -186,8 +188,8 @@ def surround(buckets: int):
         pieces = np.zeros(len(use), dtype=PIECE)
         pieces["bucket"], pieces["begin"], pieces["size"] = buckets_of(runs.hash[use], buckets), begin, size
         column = np.arange(WIDTH)
-        for at in range(0, len(use), 1 << 14):
-            part = slice(at, at + (1 << 14))
+        for at in range(0, len(use), 1 << 12):
+            part = slice(at, at + (1 << 12))
             inside = (column >= begin[part, None]) & (column < (begin + size)[part, None])
             place = np.clip((first - begin)[part, None] + column, 0, len(runs.data) - 1)
             pieces["bytes"][part] = np.where(inside, runs.data[place], 0)
