@@ -16,17 +16,14 @@ from pyspark.sql.window import Window
 
 from viewloom.functions.identity import InstanceId, composite_id, parse_instance_id, parse_instance_ids
 from viewloom.functions.timing import TimeArgument, resolve_time, time_literal
-from viewloom.operators.rollups import MICROS, SERIES, SQL_AGGREGATES, STRETCH, aggregate_name, floor_to, rollup
+from viewloom.operators.rollups import GRIDDED, SERIES, SQL_AGGREGATES, STRETCH, aggregate_name, floor_to, rollup
 
 Ids = str | Iterable[str | tuple[str, str]] | None
 
-# Up to this many ids become a predicate that the file scan sees; more become a join.
+# Up to this many ids become a predicate that the file scan sees; more become a join beside the bounds of the ids.
 PREDICATE_IDS = 1000
-# The id list comes from the caller's arguments; up to this many it is small enough to broadcast.
-BROADCAST_IDS = 100_000
 
-# The rows one call may return in all, shared out over its series.
-RAW_TOTAL = 100_000
+# Fixed value: the rows one call for rollups may return in all, shared out over its series.
 AGGREGATE_TOTAL = 10_000
 
 OPTIONAL_COLUMNS = {"value_string": "string", "status_code": "int", "status_symbol": "string"}
@@ -43,8 +40,11 @@ def only_series(table: DataFrame, ids: list[InstanceId] | None) -> DataFrame:
         return table
     if len(ids) > PREDICATE_IDS:
         wanted = table.sparkSession.createDataFrame(ids, "space string, external_id string")
-        wanted = F.broadcast(wanted) if len(ids) <= BROADCAST_IDS else wanted
-        return table.join(wanted, list(SERIES), "left_semi")
+        near = F.lit(True)
+        for column in SERIES:
+            values = [getattr(item, column) for item in ids]
+            near = near & F.col(column).between(min(values), max(values))
+        return table.where(near).join(wanted, list(SERIES), "left_semi")
     by_space: dict[str, list[str]] = {}
     for item in ids:
         by_space.setdefault(item.space, []).append(item.external_id)
@@ -59,27 +59,24 @@ def in_range(table: DataFrame, start: datetime, end: datetime) -> DataFrame:
     return table.where((F.col("ts") >= time_literal(start, kind)) & (F.col("ts") < time_literal(end, kind)))
 
 
-def limit_per_series(
-    rows: DataFrame, cap: int, order: str = "timestamp", series_bound: int | None = None
-) -> DataFrame:
+def limit_per_series(rows: DataFrame, cap: int, order: str = "timestamp") -> DataFrame:
     """The first ``cap`` rows of each series.
 
-    Rows are counted per hour first, which finds for each series the hour its last kept row lies in; only rows up to
-    that hour are then ranked. A long series therefore never reaches one task whole. ``series_bound`` is the number
-    of series the caller asked for, if known: that many rows can be broadcast.
+    Rows are counted per series and hour first. Hours that lie wholly within the cap are kept as they are, and only the
+    hour in which a series reaches it is ranked, so no task holds more of a series than the rows of one hour.
     """
     if cap < 1:
         raise ValueError(f"the cap must be at least 1, not {cap}")
-    hour = floor_to(F.unix_micros(F.col(order).cast("timestamp")), STRETCH)
-    counts = rows.groupBy(*SERIES, hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    keys = [*SERIES, "hour"]
+    timed = rows.withColumn("hour", floor_to(F.unix_micros(F.col(order).cast("timestamp")), STRETCH))
+    counts = timed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy(*SERIES).orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    needed = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(F.col("before") < cap)
-    cut = needed.groupBy(*SERIES).agg(F.max("hour").alias("last_hour"))
-    if series_bound is not None and series_bound <= BROADCAST_IDS:
-        cut = F.broadcast(cut)
-    kept = rows.join(cut, list(SERIES), "inner").where(hour <= F.col("last_hour"))
-    rank = F.row_number().over(Window.partitionBy(*SERIES).orderBy(order))
-    return kept.withColumn("rank", rank).where(F.col("rank") <= cap).select(*rows.columns)
+    needed = counts.withColumn("left", cap - F.coalesce(F.sum("n").over(earlier), F.lit(0))).where("left > 0")
+    whole = timed.join(needed.where("n <= left").select(*keys), keys, "left_semi")
+    last = timed.join(needed.where("n > left").select(*keys, "left"), keys)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    first = last.withColumn("rank", rank).where(F.col("rank") <= F.col("left"))
+    return whole.select(*rows.columns).unionByName(first.select(*rows.columns))
 
 
 def _now(now: datetime | None) -> datetime:
@@ -114,9 +111,10 @@ def datapoints_detailed(
     ids = None if instance_ids is None else parse_instance_ids(instance_ids)
     now = _now(now)
     first, last = resolve_time(start, now), resolve_time(end, now)
-    points = in_range(only_series(complete(table), ids), first, last)
+    every = only_series(complete(table), ids)
+    points = in_range(every, first, last)
     if rolled:
-        rows = rollup(points, aggregates, granularity, first, last).select(
+        rows = rollup(every if aggregates in GRIDDED else points, aggregates, granularity, first, last).select(
             "timestamp",
             "value",
             *[F.lit(None).cast(t).alias(c) for c, t in OPTIONAL_COLUMNS.items()],
@@ -129,7 +127,7 @@ def datapoints_detailed(
         return rows
     if ids is None:
         raise ValueError("a total limit is shared out over a list of ids, so it needs one")
-    return limit_per_series(rows, max(1, total_limit // len(ids)), series_bound=len(ids))
+    return limit_per_series(rows, max(1, total_limit // len(ids)))
 
 
 def datapoints(
@@ -171,15 +169,12 @@ def series_aggregate(
 def latest_by_series(table: DataFrame, before: datetime) -> DataFrame:
     """The last point strictly before a time, per series: space, external_id, timestamp, value, status_code.
 
-    Three aggregates over fixed-width buffers, combined on the map side; no sort and no ranking of points.
+    One aggregate over a fixed-width buffer, combined on the map side; value and status are of one and the same point.
     """
     rows = complete(table)
     earlier = rows.where(F.col("ts") < time_literal(before, rows.schema["ts"].dataType))
-    return earlier.groupBy(*SERIES).agg(
-        F.max("ts").alias("timestamp"),
-        F.max_by("value", "ts").alias("value"),
-        F.max_by("status_code", "ts").alias("status_code"),
-    )
+    last = F.max_by(F.struct(F.col("ts").alias("timestamp"), "value", "status_code"), "ts")
+    return earlier.groupBy(*SERIES).agg(last.alias("last")).select(*SERIES, "last.*")
 
 
 def _latest_columns(include_status: bool) -> list[Column | str]:

@@ -5,9 +5,10 @@ All are equi-joins, left to Spark to broadcast or shuffle by measured size; adap
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions.identity import instance_id_struct
@@ -34,6 +35,27 @@ def join_on_property(left: DataFrame, right: DataFrame, left_property: str, righ
     )
 
 
+def _reference(space: str | None, external_id: str | None, instance_id: str | None) -> tuple[Column, Column]:
+    """Space and external id of the series that a row refers to, by two columns or one id text."""
+    if instance_id is not None:
+        named = instance_id_struct(F.col(instance_id))
+        return named["space"], named["external_id"]
+    return F.col(space), F.col(external_id)
+
+
+def referred_series(rows: DataFrame, references: Sequence[Mapping[str, str]]) -> DataFrame:
+    """The distinct (space, external_id) that rows refer to, by references as :func:`with_series` takes them.
+
+    A left semi join of the points with these, before a rollup, leaves the series out that nothing will join; one rollup
+    then serves all the references.
+    """
+    found = []
+    for reference in references:
+        space, external_id = _reference(*(reference.get(k) for k in ("space", "external_id", "instance_id")))
+        found.append(rows.select(space.alias("space"), external_id.alias("external_id")))
+    return reduce(DataFrame.unionByName, found).where("space IS NOT NULL AND external_id IS NOT NULL").distinct()
+
+
 def with_series(
     rows: DataFrame,
     series: DataFrame,
@@ -50,11 +72,7 @@ def with_series(
     twice puts two series next to one row; ``aligned=(row column, series column)`` then pairs equal times only,
     instead of every point of one with every point of the other.
     """
-    if instance_id is not None:
-        reference = instance_id_struct(F.col(instance_id))
-        ref_space, ref_id = reference["space"], reference["external_id"]
-    else:
-        ref_space, ref_id = F.col(space), F.col(external_id)
+    ref_space, ref_id = _reference(space, external_id, instance_id)
     left = rows.withColumns({"_space": ref_space, "_external_id": ref_id}).where(
         F.col("_space").isNotNull() & F.col("_external_id").isNotNull()
     )

@@ -27,18 +27,21 @@ STRETCH = 3600 * MICROS
 GRID_BUCKETS = 4096
 
 # The aggregate names, in lower case.
-PLAIN = {
-    "average": F.avg,
-    "max": F.max,
-    "min": F.min,
-    "count": lambda v: F.count(v).cast("double"),
-    "sum": F.sum,
-    "discretevariance": F.var_pop,
-}
+PLAIN = ("average", "max", "min", "count", "sum", "discretevariance")
 ORDERED = ("continuousvariance", "totalvariation")
 GRIDDED = ("interpolation", "stepinterpolation")
 AGGREGATES = (*PLAIN, *ORDERED, *GRIDDED)
 
+# The plain ones as SQL, from which both APIs are built.
+PLAIN_SQL = {
+    "average": "avg(value)",
+    "max": "max(value)",
+    "min": "min(value)",
+    "count": "CAST(count(value) AS DOUBLE)",
+    "sum": "sum(value)",
+    "discretevariance": "var_pop(value)",
+}
+
 # The names accepted where only plain SQL aggregates are.
 SQL_AGGREGATES = {
     "avg": "average",
@@ -87,7 +90,12 @@ def positioned(points: DataFrame) -> DataFrame:
 def rollup(
     points: DataFrame, aggregate: str, granularity: str, start: datetime | None = None, end: datetime | None = None
 ) -> DataFrame:
-    """One aggregate per series and bucket. Interpolations fill every bucket in [start, end), which they need."""
+    """One aggregate per series and bucket.
+
+    Interpolations give a value at every bucket start in [start, end), which they need, where the series has one: the
+    last point at or before and, unless stepwise, the first at or after. So for them ``points`` must not be cut to the
+    range. For the other aggregates every point counts.
+    """
     name = aggregate_name(aggregate)
     width = granularity_seconds(granularity) * MICROS
     placed = positioned(points)
@@ -132,60 +140,67 @@ def bucket_counts(points: DataFrame, granularities: list[str]) -> DataFrame:
 
 def _plain(placed: DataFrame, name: str, width: int) -> DataFrame:
     bucket = floor_to(F.col("at"), width).alias("bucket")
-    return placed.groupBy(*SERIES, bucket).agg(PLAIN[name](F.col("value")).alias("value"))
+    return placed.groupBy(*SERIES, bucket).agg(F.expr(PLAIN_SQL[name]).alias("value"))
+
+
+# What the straight line from (at0, v0) to (at1, v1) adds to each running sum, as SQL. Times are microseconds. Values are
+# taken from a nearby one, ``origin``: squares of large values would cancel each other's digits.
+SEGMENT_SUMS = {
+    "variation": "abs({v1} - {v0})",
+    "seconds": f"(({{at1}} - {{at0}}) / {MICROS})",
+    "area": f"(({{v0}} - {{origin}}) + ({{v1}} - {{origin}})) / 2 * (({{at1}} - {{at0}}) / {MICROS})",
+    "square": "(({v0} - {origin}) * ({v0} - {origin}) + ({v0} - {origin}) * ({v1} - {origin}) + ({v1} - {origin}) * ({v1} - {origin}))"
+    f" / 3 * (({{at1}} - {{at0}}) / {MICROS})",
+}
+# The sums of a stretch, whose values were taken from its first one, seen from the first value of its bucket.
+MOVED_SUMS = {
+    "variation": "variation",
+    "seconds": "seconds",
+    "area": "area + seconds * (first_value - origin)",
+    "square": "square + 2 * (first_value - origin) * area + seconds * (first_value - origin) * (first_value - origin)",
+}
+# The result of a bucket from its sums: of one point there is no variance.
+ORDERED_RESULTS = {
+    "totalvariation": "variation",
+    "continuousvariance": "CASE WHEN points > 1 THEN greatest(square / seconds - (area / seconds) * (area / seconds), 0D) END",
+}
+
+
+def ordered_sums(inside: str, across: str) -> tuple[list[str], list[str], list[str]]:
+    """Select lists of the three steps from points to the sums of a bucket, as SQL.
+
+    Points get their predecessor and the first value in the window ``inside`` (one stretch); a stretch is summed; a
+    bucket's stretches, in the window ``across``, get the line from one to the next and are summed.
+    """
+    steps = [f"lag(at) OVER {inside} AS at0", f"lag(value) OVER {inside} AS v0", f"first(value) OVER {inside} AS start_value"]
+    line = dict(at0="at0", v0="v0", at1="at", v1="value", origin="start_value")
+    stretch = [f"coalesce(sum({e.format(**line)}), 0D) AS {n}" for n, e in SEGMENT_SUMS.items()]
+    stretch += ["count(1) AS points", "min(at) AS first_at", "min_by(value, at) AS first_value", "max(at) AS last_at", "max_by(value, at) AS last_value"]
+    joins = [f"lag(last_at) OVER {across} AS at0", f"lag(last_value) OVER {across} AS v0", f"first(first_value) OVER {across} AS origin"]
+    return steps, stretch, joins
 
 
-def _segment_sums(kind: str, t0: str, v0: str, t1: str, v1: str) -> dict[str, Column]:
-    """What a straight line from (t0, v0) to (t1, v1) adds to each running sum, times in seconds."""
-    a, b = F.col(v0), F.col(v1)
-    if kind == "totalvariation":
-        return {"variation": F.abs(b - a)}
-    seconds = (F.col(t1) - F.col(t0)) / MICROS
-    return {
-        "seconds": seconds,
-        "area": (a + b) / 2 * seconds,
-        "square": (a * a + a * b + b * b) / 3 * seconds,
-    }
+def bucket_sums() -> list[str]:
+    line = dict(at0="at0", v0="v0", at1="first_at", v1="first_value", origin="origin")
+    return [f"sum({MOVED_SUMS[n]} + coalesce({e.format(**line)}, 0D)) AS {n}" for n, e in SEGMENT_SUMS.items()] + ["sum(points) AS points"]
 
 
 def _ordered(placed: DataFrame, name: str, width: int) -> DataFrame:
     """Sums over the line segments between neighbouring points of a bucket.
 
     Points are ordered inside (bucket, stretch). If a bucket is longer than a stretch, the segments that join one
-    stretch to the next come from the stretches' first and last points.
+    stretch to the next come from the stretches' first and last points. Sums that ``name`` doesn't need are pruned.
     """
     keys = [*SERIES, "bucket"]
+    key = ", ".join(keys)
     stretches = placed.withColumns(
         {"bucket": floor_to(F.col("at"), width), "stretch": floor_to(F.col("at"), min(width, STRETCH))}
     )
-    inside = Window.partitionBy(*keys, "stretch").orderBy("at")
-    steps = stretches.withColumns({"at0": F.lag("at").over(inside), "value0": F.lag("value").over(inside)})
-    sums = _segment_sums(name, "at0", "value0", "at", "value")
-    zero = F.lit(0.0)
-    summary = steps.groupBy(*keys, "stretch").agg(
-        *[F.coalesce(F.sum(column), zero).alias(label) for label, column in sums.items()],
-        F.count(F.lit(1)).alias("points"),
-        F.min("at").alias("first_at"),
-        F.min_by("value", "at").alias("first_value"),
-        F.max("at").alias("last_at"),
-        F.max_by("value", "at").alias("last_value"),
-    )
+    steps, stretch, joins = ordered_sums(f"(PARTITION BY {key}, stretch ORDER BY at)", f"(PARTITION BY {key} ORDER BY stretch)")
+    summary = stretches.selectExpr("*", *steps).groupBy(*keys, "stretch").agg(*map(F.expr, stretch))
     if width > STRETCH:
-        across = Window.partitionBy(*keys).orderBy("stretch")
-        bridged = summary.withColumns(
-            {"at0": F.lag("last_at").over(across), "value0": F.lag("last_value").over(across)}
-        )
-        bridges = _segment_sums(name, "at0", "value0", "first_at", "first_value")
-        summary = bridged.groupBy(*keys).agg(
-            *[F.sum(F.col(label) + F.coalesce(bridges[label], zero)).alias(label) for label in sums],
-            F.sum("points").alias("points"),
-        )
-    if name == "totalvariation":
-        value = F.col("variation")
-    else:
-        mean = F.col("area") / F.col("seconds")
-        value = F.when(F.col("points") > 1, F.greatest(F.col("square") / F.col("seconds") - mean * mean, zero))
-    return summary.select(*keys, value.alias("value"))
+        summary = summary.selectExpr("*", *joins).groupBy(*keys).agg(*map(F.expr, bucket_sums()))
+    return summary.select(*keys, F.expr(ORDERED_RESULTS[name]).alias("value"))
 
 
 def _gridded(placed: DataFrame, name: str, width: int, start: int, end: int) -> DataFrame:
@@ -193,7 +208,8 @@ def _gridded(placed: DataFrame, name: str, width: int, start: int, end: int) ->
 
     Of each bucket only the first and last point can be a neighbour of a bucket start, so the points shrink to those
     first. Grid and edge points are then ordered inside blocks of ``GRID_BUCKETS`` buckets; the nearest points
-    outside a block come from a pass over one summary row per block.
+    outside a block come from a pass over one summary row per block. The last point before ``start`` and the first at
+    or after ``end`` count as a block before the first and one after the last.
     """
     block_width = width * GRID_BUCKETS
     first, last = -(-start // width) * width, -(-end // width) * width - width
@@ -215,6 +231,18 @@ def _gridded(placed: DataFrame, name: str, width: int, start: int, end: int) ->
         F.max("last_at").alias("last_at"),
         F.max_by("last_value", "last_at").alias("last_value"),
     )
+    around = [(F.col("at") < start, "max", low - block_width)]
+    if name == "interpolation":
+        around.append((F.col("at") >= end, "min", high + block_width))
+    for side, pick, block in around:
+        moment, value = F.expr(f"{pick}(at)"), F.expr(f"{pick}_by(value, at)")
+        nearest = placed.where(side).groupBy(*SERIES).agg(moment.alias("first_at"), value.alias("first_value"))
+        held = held.unionByName(
+            nearest.select(
+                *SERIES, F.lit(block).cast("bigint").alias("block"), "first_at", "first_value",
+                F.col("first_at").alias("last_at"), F.col("first_value").alias("last_value"),
+            )
+        )
     blocks = F.sequence(*[F.lit(n).cast("bigint") for n in (low, high, block_width)])
     wanted = held.select(*SERIES).distinct().select(*SERIES, F.explode(blocks).alias("block"))
     # Rows of ``wanted`` look at the rows of ``held`` strictly before and after their own block.
@@ -272,4 +300,5 @@ def _gridded(placed: DataFrame, name: str, width: int, start: int, end: int) ->
         share = (F.col("at") - F.col("p0")) / (F.col("p1") - F.col("p0"))
         line = F.col("v0") + (F.col("v1") - F.col("v0")) * share
         value = F.when(F.col("p0") == F.col("at"), F.col("v0")).when(F.col("p1").isNotNull(), line)
-    return filled.where("is_mark = 1").select(*SERIES, F.col("at").alias("bucket"), value.alias("value"))
+    rows = filled.where("is_mark = 1").select(*SERIES, F.col("at").alias("bucket"), value.alias("value"))
+    return rows.where(F.col("value").isNotNull())

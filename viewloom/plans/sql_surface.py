@@ -15,7 +15,19 @@ from pyspark.sql import types as T
 from viewloom.functions.timing import ISO, RELATIVE, UNIT_SECONDS
 from viewloom.model import IDENTITY_COLUMNS, LIFECYCLE_COLUMNS, Property, ViewDef, function_name_for
 from viewloom.operators.aggregates import MAX_METRICS
-from viewloom.operators.rollups import AGGREGATES, GRID_BUCKETS, GRIDDED, MICROS, ORDERED, PLAIN, SQL_AGGREGATES, STRETCH
+from viewloom.operators.rollups import (
+    AGGREGATES,
+    GRID_BUCKETS,
+    GRIDDED,
+    ORDERED,
+    ORDERED_RESULTS,
+    PLAIN,
+    PLAIN_SQL,
+    SQL_AGGREGATES,
+    STRETCH,
+    bucket_sums,
+    ordered_sums,
+)
 
 # The parameters that follow the property parameters of every view function, in order.
 PUSHDOWN_PARAMETERS = {
@@ -323,24 +335,13 @@ def _width_sql(given: str) -> str:
     return f"(CAST(substring({text}, 1, length({text}) - 1) AS BIGINT) * CASE right({text}, 1) {seconds} END * 1000000)"
 
 
-PLAIN_SQL = {
-    "average": "avg(value)",
-    "avg": "avg(value)",
-    "max": "max(value)",
-    "min": "min(value)",
-    "count": "CAST(count(value) AS DOUBLE)",
-    "sum": "sum(value)",
-    "discretevariance": "var_pop(value)",
-}
-
-
 # An id text: a space with something in it, the first colon, and an external id with something in it.
 INSTANCE_ID = "^[^:]*[^: ][^:]*:.*[^ ].*$"
 
 
 def _rolled_sql(points: str, aggregate: str, width: str, names: list[str]) -> str:
     """Plain aggregates per bucket. All of them are computed by name and those not asked for are pruned."""
-    sums = ", ".join(f"{PLAIN_SQL[n]} AS {n}" for n in dict.fromkeys(names))
+    sums = ", ".join(f"{PLAIN_SQL[SQL_AGGREGATES.get(n, n)]} AS {n}" for n in dict.fromkeys(names))
     cases = " ".join(f"WHEN '{n}' THEN {n}" for n in dict.fromkeys(names))
     return f"""
   SELECT timestamp_micros(bucket) AS timestamp, CASE lower(trim({aggregate})) {cases} END AS value, external_id, space
@@ -354,41 +355,24 @@ SERIES_KEY = "space, external_id"
 
 def _ordered_sql(points: str, aggregate: str, width: str) -> str:
     """Segment sums per bucket, as in viewloom.operators.rollups: inside stretches, then across their ends."""
-    step = f"(PARTITION BY {SERIES_KEY}, bucket, stretch ORDER BY at)"
-    across = f"(PARTITION BY {SERIES_KEY}, bucket ORDER BY stretch)"
-
-    def sums(t0: str, v0: str, t1: str, v1: str) -> list[str]:
-        dt = f"(({t1} - {t0}) / {MICROS})"
-        return [
-            f"abs({v1} - {v0})",
-            dt,
-            f"({v0} + {v1}) / 2 * {dt}",
-            f"({v0} * {v0} + {v0} * {v1} + {v1} * {v1}) / 3 * {dt}",
-        ]
-
-    labels = ("variation", "seconds", "area", "square")
-    inner = ", ".join(f"coalesce(sum({e}), 0D) AS {n}" for e, n in zip(sums("at0", "v0", "at", "value"), labels))
-    outer = ", ".join(
-        f"sum({n} + coalesce({e}, 0D)) AS {n}"
-        for e, n in zip(sums("at0", "v0", "first_at", "first_value"), labels)
-    )
+    key = f"{SERIES_KEY}, bucket"
+    steps, stretch, joins = map(", ".join, ordered_sums(f"(PARTITION BY {key}, stretch ORDER BY at)", f"(PARTITION BY {key} ORDER BY stretch)"))
+    results = " ".join(f"WHEN '{name}' THEN {result}" for name, result in ORDERED_RESULTS.items())
     return f"""
-  SELECT timestamp_micros(bucket) AS timestamp, CASE WHEN lower(trim({aggregate})) = 'totalvariation' THEN variation
-      WHEN points > 1 THEN greatest(square / seconds - (area / seconds) * (area / seconds), 0D) END AS value,
-    external_id, space
-  FROM (SELECT {SERIES_KEY}, bucket, sum(points) AS points, {outer} FROM (
-      SELECT *, lag(last_at) OVER {across} AS at0, lag(last_value) OVER {across} AS v0 FROM (
-        SELECT {SERIES_KEY}, bucket, stretch, count(1) AS points, {inner},
-          min(at) AS first_at, min_by(value, at) AS first_value, max(at) AS last_at, max_by(value, at) AS last_value
-        FROM (SELECT *, lag(at) OVER {step} AS at0, lag(value) OVER {step} AS v0 FROM (
+  SELECT timestamp_micros(bucket) AS timestamp, CASE lower(trim({aggregate})) {results} END AS value, external_id, space
+  FROM (SELECT {key}, {', '.join(bucket_sums())} FROM (
+      SELECT *, {joins} FROM (
+        SELECT {key}, stretch, {stretch} FROM (SELECT *, {steps} FROM (
             SELECT {SERIES_KEY}, value, at, at - pmod(at, {width}) AS bucket,
               at - pmod(at, least({width}, {STRETCH})) AS stretch FROM ({points})))
-        GROUP BY {SERIES_KEY}, bucket, stretch))
-    GROUP BY {SERIES_KEY}, bucket)"""
+        GROUP BY {key}, stretch))
+    GROUP BY {key})"""
 
 
-def _gridded_sql(points: str, aggregate: str, width: str, start: str, end: str) -> str:
-    """Values at every bucket start, as in viewloom.operators.rollups: inside blocks, with what lies around each."""
+def _gridded_sql(every: str, aggregate: str, width: str, start: str, end: str) -> str:
+    """Values at every bucket start, as in viewloom.operators.rollups: inside blocks, with what lies around each.
+    ``every`` has the points of all times."""
+    points = f"SELECT * FROM ({every}) WHERE at >= {start} AND at < {end}"
     block = f"({width} * {GRID_BUCKETS})"
     first = f"(-(floor(-({start}) / {width})) * {width})"
     last = f"(-(floor(-({end}) / {width})) * {width} - {width})"
@@ -399,7 +383,11 @@ def _gridded_sql(points: str, aggregate: str, width: str, start: str, end: str)
         FROM ({points})) GROUP BY {SERIES_KEY}, block, bucket"""
     held = f"""SELECT {SERIES_KEY}, block, min(first_at) AS first_at, min_by(first_value, first_at) AS first_value,
         max(last_at) AS last_at, max_by(last_value, last_at) AS last_value
-      FROM ({edges}) GROUP BY {SERIES_KEY}, block"""
+      FROM ({edges}) GROUP BY {SERIES_KEY}, block
+      UNION ALL SELECT {SERIES_KEY}, {low} - {block}, at, value, at, value FROM (
+        SELECT {SERIES_KEY}, max(at) AS at, max_by(value, at) AS value FROM ({every}) WHERE at < {start} GROUP BY {SERIES_KEY})
+      UNION ALL SELECT {SERIES_KEY}, {high} + {block}, at, value, at, value FROM (
+        SELECT {SERIES_KEY}, min(at) AS at, min_by(value, at) AS value FROM ({every}) WHERE at >= {end} GROUP BY {SERIES_KEY})"""
     near = "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     before = f"(PARTITION BY {SERIES_KEY} ORDER BY block {near})"
     after = f"(PARTITION BY {SERIES_KEY} ORDER BY block DESC {near})"
@@ -424,23 +412,24 @@ def _gridded_sql(points: str, aggregate: str, width: str, start: str, end: str)
     ahead = f"(PARTITION BY {SERIES_KEY}, block ORDER BY at DESC, is_mark {rows})"
     point_at, point_value = "IF(is_mark = 0, at, NULL)", "IF(is_mark = 0, value, NULL)"
     return f"""
+  SELECT * FROM (
   SELECT timestamp_micros(at) AS timestamp, CASE WHEN lower(trim({aggregate})) = 'stepinterpolation' OR p0 = at THEN w0
       WHEN p1 IS NOT NULL THEN w0 + (w1 - w0) * ((at - p0) / (p1 - p0)) END AS value, external_id, space
   FROM (SELECT {SERIES_KEY}, at, is_mark,
       coalesce(last({point_at}, true) OVER {back}, at0) AS p0, coalesce(last({point_value}, true) OVER {back}, v0) AS w0,
       coalesce(last({point_at}, true) OVER {ahead}, at1) AS p1,
       coalesce(last({point_value}, true) OVER {ahead}, v1) AS w1
-    FROM ({known} UNION ALL {marks})) WHERE is_mark = 1"""
+    FROM ({known} UNION ALL {marks})) WHERE is_mark = 1) WHERE value IS NOT NULL"""
 
 
-def _any_aggregate_sql(points: str, aggregate: str, width: str, start: str, end: str) -> str:
+def _any_aggregate_sql(points: str, every: str, aggregate: str, width: str, start: str, end: str) -> str:
     """The ten aggregates in one relation; with a literal aggregate only its own branch stays in the plan."""
     named = f"lower(trim({aggregate}))"
     unknown = f"CAST(raise_error(concat('unknown aggregate ', {aggregate})) AS BOOLEAN)"
     branches = [
         (list(PLAIN), _rolled_sql(points, aggregate, width, list(PLAIN))),
         (ORDERED, _ordered_sql(points, aggregate, width)),
-        (GRIDDED, _gridded_sql(points, aggregate, width, start, end)),
+        (GRIDDED, _gridded_sql(every, aggregate, width, start, end)),
     ]
     listed = lambda names: ", ".join(_text(n) for n in names)
     parts = [f"SELECT * FROM ({sql}) WHERE {named} IN ({listed(names)})" for names, sql in branches]
@@ -464,8 +453,8 @@ def series_function_ddl(source: str, ts_type: str, optional: set[str], temporary
         first, last = _time_sql(arg(function, start)), _time_sql(arg(function, end))
         return f"p.ts >= CAST({first} AS {ts_type}) AND p.ts < CAST({last} AS {ts_type})"
 
-    def every_series(function: str, columns: str) -> str:
-        return f"SELECT {columns} FROM {source} p WHERE {in_range(function, 'start', 'end')}"
+    def every_series(function: str, columns: str, ranged: bool = True) -> str:
+        return f"SELECT {columns} FROM {source} p WHERE {in_range(function, 'start', 'end') if ranged else 'p.value IS NOT NULL'}"
 
     def named_series(function: str) -> str:
         """The series that one id text names, split at its first colon.
@@ -491,16 +480,23 @@ def series_function_ddl(source: str, ts_type: str, optional: set[str], temporary
             f"WHERE id <> '' AND IF(id RLIKE '{INSTANCE_ID}', true, {bad_id.format('id')})"
         )
 
-    def many_series(function: str, columns: str, start: str, end: str) -> str:
+    def near(function: str) -> str:
+        """Least and greatest space and external id of a list of ids: without lambdas, so that they fold and reach the scan."""
+        tidy = f"regexp_replace(trim({arg(function, 'instance_ids')}), ' *, *', ',')"
+        spaces, ids = f"regexp_replace({tidy}, ' *:[^,]*', '')", f"regexp_replace({tidy}, '(^|,)[^:,]*: *', '$1')"
+        listed = ((c, f"array_remove(split({text}, ','), '')") for c, text in (("p.space", spaces), ("p.external_id", ids)))
+        return " AND ".join(f"{c} >= array_min({items}) AND {c} <= array_max({items})" for c, items in listed)
+
+    def many_series(function: str, columns: str, condition: str) -> str:
         return (
             f"SELECT {columns} FROM {source} p JOIN ({wanted(function)}) ids "
-            f"ON p.space = ids.s AND p.external_id = ids.e WHERE {in_range(function, start, end)}"
+            f"ON p.space = ids.s AND p.external_id = ids.e WHERE {near(function)} AND {condition}"
         )
 
-    def aggregated(function: str, points: str) -> str:
+    def aggregated(function: str, points: str, every: str) -> str:
         first, last = (f"unix_micros({_time_sql(arg(function, n))})" for n in ("start", "end"))
         name, width = arg(function, "aggregates"), _width_sql(arg(function, "granularity"))
-        return _any_aggregate_sql(points, name, width, first, last)
+        return _any_aggregate_sql(points, every, name, width, first, last)
 
     def pair(function: str) -> str:
         same = f"({arg(function, 'aggregates')} IS NULL) = ({arg(function, 'granularity')} IS NULL)"
@@ -512,7 +508,7 @@ def series_function_ddl(source: str, ts_type: str, optional: set[str], temporary
         "`start` STRING DEFAULT '2w-ago', `end` STRING DEFAULT 'now', "
         "aggregates STRING DEFAULT NULL, granularity STRING DEFAULT NULL"
     )
-    hinted = many_series(rolled, placed, "start_hint", "end_hint")
+    hinted = many_series(rolled, placed, in_range(rolled, "start_hint", "end_hint"))
     hint_name, hint_width = arg(rolled, "aggregate_hint"), _width_sql(arg(rolled, "granularity_hint"))
     hints = [arg(rolled, n) for n in ("start_hint", "end_hint", "aggregate_hint", "granularity_hint")]
     unknown_hint = f"CAST(raise_error(concat('unknown aggregate ', {hint_name})) AS BOOLEAN)"
@@ -525,18 +521,18 @@ RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE) RETURN
     SELECT space, external_id, CAST(ts AS TIMESTAMP) AS timestamp, value FROM ({every_series(one, 'p.*')})
       WHERE {arg(one, 'aggregates')} IS NULL
     UNION ALL
-    SELECT space, external_id, timestamp, value FROM ({aggregated(one, every_series(one, placed))})
+    SELECT space, external_id, timestamp, value FROM ({aggregated(one, every_series(one, placed), every_series(one, placed, False))})
       WHERE {arg(one, 'aggregates')} IS NOT NULL)
   WHERE {named_series(one)} AND {pair(one)}""",
         many: f"""{create} {many}(instance_ids STRING, {ranged})
 RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE, status_code INT, status_symbol STRING, external_id STRING, space STRING)
 RETURN
   SELECT CAST(ts AS TIMESTAMP) AS timestamp, value, code, symbol, external_id, space
-    FROM ({many_series(many, f'p.*, {code} AS code, {symbol} AS symbol', 'start', 'end')})
+    FROM ({many_series(many, f'p.*, {code} AS code, {symbol} AS symbol', in_range(many, 'start', 'end'))})
     WHERE {arg(many, 'aggregates')} IS NULL AND {pair(many)}
   UNION ALL
   SELECT timestamp, value, CAST(NULL AS INT), CAST(NULL AS STRING), external_id, space
-    FROM ({aggregated(many, many_series(many, placed, 'start', 'end'))})
+    FROM ({aggregated(many, many_series(many, placed, in_range(many, 'start', 'end')), many_series(many, placed, 'p.value IS NOT NULL'))})
     WHERE {arg(many, 'aggregates')} IS NOT NULL AND {pair(many)}""",
         rolled: f"""{create} {rolled}(instance_ids STRING, start_hint STRING, end_hint STRING,
   aggregate_hint STRING, granularity_hint STRING)
@@ -547,12 +543,9 @@ RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE, external_id STRING, space STRIN
         latest: f"""{create} {latest}(instance_ids STRING, before STRING DEFAULT 'now',
   include_status BOOLEAN DEFAULT false)
 RETURNS TABLE(time_series_external_id STRING, timestamp TIMESTAMP, value DOUBLE, status_code INT) RETURN
-  SELECT concat(space, ':', external_id), CAST(last_ts AS TIMESTAMP), last_value,
-    IF({arg(latest, 'include_status')}, last_code, NULL)
-  FROM (SELECT p.space, p.external_id, max(p.ts) AS last_ts, max_by(p.value, p.ts) AS last_value,
-      max_by({code}, p.ts) AS last_code
-    FROM {source} p JOIN ({wanted(latest)}) ids ON p.space = ids.s AND p.external_id = ids.e
-    WHERE p.ts < CAST({before} AS {ts_type}) GROUP BY p.space, p.external_id)""",
+  SELECT concat(space, ':', external_id), CAST(last.ts AS TIMESTAMP), last.value, IF({arg(latest, 'include_status')}, last.code, NULL)
+  FROM (SELECT space, external_id, max_by(struct(ts, value, code), ts) AS last
+    FROM ({many_series(latest, f'p.*, {code} AS code', f'p.ts < CAST({before} AS {ts_type})')}) GROUP BY space, external_id)""",
     }
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from viewloom.operators.datapoints import (
-    AGGREGATE_TOTAL,
     datapoints,
     datapoints_detailed,
     datapoints_of,
@@ -14,8 +13,9 @@ from viewloom.operators.datapoints import (
     limit_per_series,
     series_aggregate,
 )
-from viewloom.operators.joins import with_series
+from viewloom.operators.joins import referred_series, with_series
 from viewloom.operators.rollups import bucket_counts
+from workload.registry import registrar
 from workload.tables import END, NOW, POINTS_SQL, START, USERS_SQL, points, users
 
 QUERIES = {}
@@ -27,14 +27,7 @@ IDS_SQL = "((space = 'view' AND external_id = 'user_1') OR (space = 'click' AND
     "OR (space = 'error' AND external_id = 'user_3'))"
 
 
-def query(oracle: str | None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return register
+query = registrar(QUERIES, ORACLES)
 
 
 def bucket_sql(seconds: int, column: str = "ts") -> str:
@@ -66,15 +59,11 @@ def datapoints_detailed_some(spark, sf_dir):
 
 
 @query(f"""SELECT ts AS timestamp, value, CAST(NULL AS VARCHAR) AS value_string, status_code, status_symbol,
-    external_id, space FROM {POINTS_SQL} WHERE {IN_RANGE}""")
-def datapoints_detailed_all(spark, sf_dir):
+    external_id, space FROM {POINTS_SQL} WHERE {IN_RANGE}""", "datapoints_detailed")
+def all_datapoints_detailed(spark, sf_dir):
     return datapoints_detailed(points(spark, sf_dir), None, START, END, now=NOW)
 
 
-QUERIES["datapoints_detailed"] = QUERIES.pop("datapoints_detailed_all")
-ORACLES["datapoints_detailed"] = ORACLES.pop("datapoints_detailed_all")
-
-
 @query(f"""SELECT {bucket_sql(86400)} AS timestamp, round(avg(value), 6) AS value, external_id, space
     FROM {POINTS_SQL} WHERE {IN_RANGE} GROUP BY 1, external_id, space""")
 def series_sql_aggregate(spark, sf_dir):
@@ -158,40 +147,54 @@ def series_total_variation(spark, sf_dir):
     return rows.select("space", "external_id", "timestamp", F.round("value", 6).alias("value"))
 
 
-@query(f"""WITH s AS (SELECT space, external_id, {bucket_sql(1209600)} AS bucket, value AS b,
-      epoch_us(ts) / 1000000.0 - lag(epoch_us(ts) / 1000000.0) OVER w AS dt, lag(value) OVER w AS a
-      FROM {POINTS_SQL} WHERE {IN_RANGE}
-      WINDOW w AS (PARTITION BY space, external_id, {bucket_sql(1209600)} ORDER BY ts)),
+def variance_sql(value: str) -> str:
+    """Variance of the line through a bucket's points, with values taken from the bucket's mean of points first."""
+    return f"""WITH c AS (SELECT space, external_id, {bucket_sql(1209600)} AS bucket, ts,
+      {value} - avg({value}) OVER (PARTITION BY space, external_id, {bucket_sql(1209600)}) AS v FROM {POINTS_SQL} WHERE {IN_RANGE}),
+    s AS (SELECT space, external_id, bucket, v AS b, lag(v) OVER w AS a,
+      (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1000000.0 AS dt FROM c WINDOW w AS (PARTITION BY space, external_id, bucket ORDER BY ts)),
     t AS (SELECT space, external_id, bucket, sum((a + b) / 2 * dt) / sum(dt) AS mean,
       sum((a * a + a * b + b * b) / 3 * dt) / sum(dt) AS square FROM s GROUP BY space, external_id, bucket)
     SELECT space, external_id, bucket AS timestamp, CASE WHEN mean IS NOT NULL
-      THEN round(greatest(square - mean * mean, 0.0), 4) END AS value FROM t""")
+      THEN round(square - mean * mean, 4) END AS value FROM t"""
+
+
+@query(variance_sql("value"))
 def series_continuous_variance(spark, sf_dir):
     rows = datapoints_detailed(points(spark, sf_dir), None, START, END, "continuousVariance", "2w", NOW)
     return rows.select("space", "external_id", "timestamp", F.round("value", 4).alias("value"))
 
 
-GRID_SQL = f"""p AS (SELECT * FROM {POINTS_SQL} WHERE {IN_RANGE}),
+@query(variance_sql("(value + 1e9)"))
+def series_continuous_variance_offset(spark, sf_dir):
+    far = points(spark, sf_dir).withColumn("value", F.col("value") + 1e9)
+    rows = datapoints_detailed(far, None, START, END, "continuousVariance", "2w", NOW)
+    return rows.select("space", "external_id", "timestamp", F.round("value", 4).alias("value"))
+
+
+# The range starts and ends amid the data: points before and after it count as neighbours.
+GRID_START, GRID_END = "2024-01-10T00:00:00Z", "2024-01-21 00:00:00"
+GRID_SQL = f"""p AS (SELECT * FROM {POINTS_SQL} WHERE value IS NOT NULL),
     g AS (SELECT s.space, s.external_id, b.b FROM (SELECT DISTINCT space, external_id FROM p) s
-      CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 18:00:00',
+      CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-10 00:00:00', TIMESTAMP '2024-01-20 18:00:00',
         INTERVAL 6 HOUR)) AS b) b),
     g0 AS (SELECT g.space, g.external_id, g.b, p.ts AS t0, p.value AS v0 FROM g ASOF LEFT JOIN p
       ON g.space = p.space AND g.external_id = p.external_id AND g.b >= p.ts),
     g1 AS (SELECT g0.*, p.ts AS t1, p.value AS v1 FROM g0 ASOF LEFT JOIN p
-      ON g0.space = p.space AND g0.external_id = p.external_id AND g0.b <= p.ts)"""
+      ON g0.space = p.space AND g0.external_id = p.external_id AND g0.b <= p.ts),
+    lines AS (SELECT space, external_id, b AS timestamp, round(CASE WHEN t0 = b THEN v0 ELSE v0 + (v1 - v0)
+      * ((epoch_us(b) - epoch_us(t0)) / (epoch_us(t1) - epoch_us(t0))) END, 6) AS value FROM g1)"""
 
 
-@query(f"""WITH {GRID_SQL} SELECT space, external_id, b AS timestamp,
-    round(CASE WHEN t0 = b THEN v0 ELSE v0 + (v1 - v0) * ((epoch_us(b) - epoch_us(t0))
-      / (epoch_us(t1) - epoch_us(t0))) END, 6) AS value FROM g1""")
+@query(f"WITH {GRID_SQL} SELECT * FROM lines WHERE value IS NOT NULL")
 def series_interpolation(spark, sf_dir):
-    rows = datapoints_detailed(points(spark, sf_dir), None, START, END, "interpolation", "6h", NOW)
+    rows = datapoints_detailed(points(spark, sf_dir), None, GRID_START, GRID_END, "interpolation", "6h", NOW)
     return rows.select("space", "external_id", "timestamp", F.round("value", 6).alias("value"))
 
 
-@query(f"WITH {GRID_SQL} SELECT space, external_id, b AS timestamp, v0 AS value FROM g0")
+@query(f"WITH {GRID_SQL} SELECT space, external_id, b AS timestamp, v0 AS value FROM g0 WHERE v0 IS NOT NULL")
 def series_step_interpolation(spark, sf_dir):
-    rows = datapoints_detailed(points(spark, sf_dir), None, START, END, "stepInterpolation", "6h", NOW)
+    rows = datapoints_detailed(points(spark, sf_dir), None, GRID_START, GRID_END, "stepInterpolation", "6h", NOW)
     return rows.select("space", "external_id", "timestamp", "value")
 
 
@@ -203,14 +206,15 @@ def per_series_limit(spark, sf_dir):
     return limit_per_series(rows.select("space", "external_id", "timestamp", "value"), 5)
 
 
+SHARED_TOTAL = 8  # over four ids: two rows each, so that it binds
+
+
 @query(f"""SELECT timestamp, value, external_id, space FROM (SELECT *, row_number() OVER
       (PARTITION BY space, external_id ORDER BY timestamp) AS rn FROM
       (SELECT {bucket_sql(3600)} AS timestamp, max(value) AS value, external_id, space FROM {POINTS_SQL}
-       WHERE {IN_RANGE} AND {IDS_SQL} GROUP BY 1, external_id, space)) WHERE rn <= {AGGREGATE_TOTAL // 4}""")
+       WHERE {IN_RANGE} AND {IDS_SQL} GROUP BY 1, external_id, space)) WHERE rn <= {SHARED_TOTAL // 4}""")
 def shared_total_limit(spark, sf_dir):
-    return series_aggregate(
-        points(spark, sf_dir), IDS, START, END, "max", "1h", now=NOW, total_limit=AGGREGATE_TOTAL
-    )
+    return series_aggregate(points(spark, sf_dir), IDS, START, END, "max", "1h", now=NOW, total_limit=SHARED_TOTAL)
 
 
 # Views with their series
@@ -231,12 +235,14 @@ def lateral_datapoints(spark, sf_dir):
     JOIN d v ON v.space = u.view_space AND v.external_id = u.view_id
     JOIN d c ON c.space = u.click_space AND c.external_id = u.click_id AND c.day = v.day""")
 def lateral_two_series(spark, sf_dir):
-    daily = datapoints_detailed(points(spark, sf_dir), None, START, END, "max", "1d", NOW)
     rows = users(spark, sf_dir).select(
         F.col("external_id").alias("user_id"), "viewSeriesSpace", "viewSeries", "clickSeries"
-    )
+    ).where("viewSeries IS NOT NULL AND clickSeries IS NOT NULL")
+    named = referred_series(rows, [{"space": "viewSeriesSpace", "external_id": "viewSeries"}, {"instance_id": "clickSeries"}])
+    wanted = points(spark, sf_dir).join(named, ["space", "external_id"], "left_semi")
+    daily = datapoints_detailed(wanted, None, START, END, "max", "1d", NOW)
     one = with_series(
-        rows.where("clickSeries IS NOT NULL"),
+        rows,
         daily,
         {"timestamp": "timestamp", "value": "views"},
         space="viewSeriesSpace",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from viewloom.plans.sql_surface import create_series_functions, create_view, create_view_function
-from workload.series import IDS_SQL, IN_RANGE, bucket_sql
+from workload.series import GRID_END, GRID_SQL, GRID_START, IDS_SQL, IN_RANGE, bucket_sql, variance_sql
 from workload.tables import ORDER_VIEW, ORDERS_SQL, PART_VIEW, PARTS_SQL, POINTS_SQL, USERS_SQL
 from workload.tables import orders, parts, points, users
 
@@ -160,6 +160,20 @@ _register(
     f"""SELECT {bucket_sql(86400)} AS timestamp, round(avg(value), 6) AS value, external_id, space
     FROM {POINTS_SQL} WHERE {IN_RANGE} AND {IDS_SQL} GROUP BY 1, external_id, space""",
 )
+_register(
+    "tvf_series_interpolation",
+    POINT_TABLE,
+    f"""SELECT timestamp, round(value, 6) AS value, external_id, space FROM time_series_datapoints_detailed_udtf(
+      {IDS}, '{GRID_START}', '{GRID_END}', 'interpolation', '6h')""",
+    f"WITH {GRID_SQL} SELECT timestamp, value, external_id, space FROM lines WHERE value IS NOT NULL AND {IDS_SQL}",
+)
+_register(
+    "tvf_series_variance",
+    POINT_TABLE,
+    f"""SELECT timestamp, round(value, 4) AS value, external_id, space FROM time_series_datapoints_detailed_udtf(
+      {IDS}, {RANGE}, 'continuousVariance', '2w')""",
+    f"SELECT timestamp, value, external_id, space FROM ({variance_sql('value')}) WHERE {IDS_SQL}",
+)
 _register(
     "tvf_series_latest",
     POINT_TABLE,
