@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewloom.model import LIFECYCLE_COLUMNS, ViewDef
 from viewloom.operators.filters import FilterSpec, condition
@@ -14,15 +15,19 @@ from viewloom.operators.filters import FilterSpec, condition
 def conform(table: DataFrame, view: ViewDef) -> DataFrame:
     """A typed table as the view's columns in order. Source keys are renamed; missing lifecycle columns are NULL.
 
-    If the table tells nodes from edges (``instance_type``), only the view's kind is kept.
+    If the table tells nodes from edges (``instance_type``), only the view's kind is kept. Columns of another type than
+    declared are cast, but TIMESTAMP_NTZ stays, as a cast would keep filters from the scan; it means UTC throughout.
     """
     present = set(table.columns)
     rows = table
     if "instance_type" in present:
         rows = rows.where(F.col("instance_type") == view.instance_type)
-    columns = [
-        F.col(p.name) if p.name in present else F.col(f"`{p.source_key}`").alias(p.name) for p in view.properties
-    ]
+    columns = []
+    for prop in view.properties:
+        held = prop.name if prop.name in present else prop.source_key
+        kind, column = table.schema[held].dataType, F.col(f"`{held}`")
+        same = kind == prop.spark_type or (isinstance(kind, T.TimestampNTZType) and isinstance(prop.spark_type, T.TimestampType))
+        columns.append((column if same else column.cast(prop.spark_type)).alias(prop.name))
     columns += [F.col("space"), F.col("external_id")]
     columns += [F.col(c) if c in present else F.lit(None).cast("timestamp").alias(c) for c in LIFECYCLE_COLUMNS]
     return rows.select(*columns)

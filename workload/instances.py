@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from viewloom.operators.aggregates import Metric, aggregate, as_view_rows, grouped_counts, long_form
 from viewloom.operators.filters import FilterSpec
 from viewloom.operators.joins import join_on_instance, join_on_property, join_on_reference
-from viewloom.operators.scan import scan
+from viewloom.model import Property, ViewDef
+from viewloom.operators.scan import conform, scan
+from workload.registry import registrar
 from workload.tables import (
     CUSTOMER_VIEW,
     CUSTOMERS_SQL,
@@ -29,14 +31,7 @@ ORACLES = {}
 COUNT = Metric("count", "externalId")
 
 
-def query(oracle: str | None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return register
+query = registrar(QUERIES, ORACLES)
 
 
 # Scans and projections
@@ -153,13 +148,32 @@ def order_by(spark, sf_dir):
     )
 
 
-@query(f"""SELECT external_id, "totalPrice" FROM {ORDERS_SQL} WHERE space = 'O'
-    ORDER BY "totalPrice" DESC, external_id LIMIT 100""")
+@query(f"""SELECT external_id, "totalPrice" FROM {ORDERS_SQL} ORDER BY "totalPrice" DESC, external_id LIMIT 100""")
 def top_k(spark, sf_dir):
-    rows = scan(orders(spark, sf_dir), ORDER_VIEW, FilterSpec(instance_space="O"), ["external_id", "totalPrice"])
+    rows = scan(orders(spark, sf_dir), ORDER_VIEW, columns=["external_id", "totalPrice"])
     return rows.orderBy(F.desc("totalPrice"), "external_id").limit(100)
 
 
+# Edges: orders and their lines in one table of nodes and edges
+
+LINE_VIEW = ViewDef("sales", "LineView", "v1", (Property("quantity", "float64"), Property("flag")), used_for="edge")
+
+
+@query("""SELECT CAST(l_quantity AS DOUBLE) AS quantity, l_returnflag AS flag, 'lines' AS space,
+    'order_' || l_orderkey || '_' || l_linenumber AS external_id, CAST(NULL AS TIMESTAMP) AS "createdTime",
+    CAST(NULL AS TIMESTAMP) AS "lastUpdatedTime", CAST(NULL AS TIMESTAMP) AS "deletedTime" FROM lineitem""")
+def edge_view(spark, sf_dir):
+    edges = read(spark, sf_dir, "lineitem").select(
+        F.lit("edge").alias("instance_type"), F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag"),
+        F.lit("lines").alias("space"), F.concat(F.lit("order_"), "l_orderkey", F.lit("_"), "l_linenumber").alias("external_id"),
+    )
+    nodes = read(spark, sf_dir, "orders").select(
+        F.lit("node").alias("instance_type"), F.col("o_totalprice").alias("quantity"), F.col("o_orderstatus").alias("flag"),
+        F.lit("lines").alias("space"), F.concat(F.lit("order_"), "o_orderkey").alias("external_id"),
+    )
+    return scan(conform(edges.unionByName(nodes), LINE_VIEW), LINE_VIEW)
+
+
 # Joins
 
 
@@ -191,11 +205,10 @@ def join_space_external_id(spark, sf_dir):
 
 
 @query(f"""SELECT c.external_id AS customer, n.n_name AS nation_name FROM {CUSTOMERS_SQL} c
-    JOIN nation n ON c.nation = n.n_nationkey WHERE c.segment = 'MACHINERY'""")
+    JOIN nation n ON c.nation = n.n_nationkey""")
 def join_property(spark, sf_dir):
     nations = read(spark, sf_dir, "nation").select("n_name", F.col("n_nationkey").cast("string").alias("code"))
-    machinery = scan(customers(spark, sf_dir), CUSTOMER_VIEW, FilterSpec(equals={"segment": "MACHINERY"}))
-    joined = join_on_property(machinery, nations, "nation", "code")
+    joined = join_on_property(customers(spark, sf_dir), nations, "nation", "code")
     return joined.select(F.col("l.external_id").alias("customer"), F.col("r.n_name").alias("nation_name"))
 
 
@@ -250,6 +263,12 @@ def group_by_space(spark, sf_dir):
     )
 
 
+@query(f"""SELECT external_id, count(*) AS "count_externalId", max("totalPrice") AS "max_totalPrice"
+    FROM {ORDERS_SQL} GROUP BY external_id""")
+def group_by_external_id(spark, sf_dir):
+    return aggregate(orders(spark, sf_dir), ORDER_VIEW, [COUNT, Metric("max", "totalPrice")], group_by=["externalId"])
+
+
 @query(f"""SELECT customer, count(*) AS "count_externalId" FROM {ORDERS_SQL} GROUP BY customer
     ORDER BY customer LIMIT 1000""")
 def group_cap(spark, sf_dir):

@@ -13,25 +13,20 @@ from pyspark.sql import types as T
 from viewloom.functions.coercion import coerce_columns, relation_id
 from viewloom.functions.identity import instance_id_array, instance_id_struct
 from viewloom.functions.timing import resolve_time_column
+from viewloom.plans.sql_surface import create_view_function
 from viewloom.sources.payloads import unnest_payloads
 from viewloom.sources.records import parse_items, resolve, unnest_pages
+from workload.registry import registrar
 from workload.tables import ORDER_VIEW, POINTS_SQL, points, read
 
 QUERIES = {}
 ORACLES = {}
 
-# Instances per page and points per payload item: real pages are bounded the same way.
+# Instances per page; payloads hold an hour of one series. Real pages and payloads are bounded by their writers.
 PAGE = 100
 
 
-def query(oracle: str | None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return register
+query = registrar(QUERIES, ORACLES)
 
 
 def _properties() -> Column:
@@ -89,6 +84,16 @@ def page_unnest(spark, sf_dir):
     return resolve(unnest_pages(pages, ORDER_VIEW), ORDER_VIEW)
 
 
+@query(f"""SELECT external_id, class_, "totalPrice" FROM ({RESOLVED_SQL})
+    WHERE class_ IN ('1-URGENT', '2-HIGH') AND "totalPrice" > 1000.5 AND "shipNote" IS NOT NULL AND space = 'plant_O'""")
+def raw_pages_to_sql(spark, sf_dir):
+    """From pages of JSON to a filtered call of the view's SQL function, which reads only the properties it needs."""
+    page_unnest(spark, sf_dir).createOrReplaceTempView("raw_orders")
+    create_view_function(spark, ORDER_VIEW, "raw_orders", "raw_order_view_udtf")
+    return spark.sql("""SELECT external_id, class_, totalPrice FROM raw_order_view_udtf(class_ => '["1-URGENT", "2-HIGH"]',
+      _gt => '{"totalPrice": 1000.5}', _exists => 'shipNote', instance_space => 'plant_O')""")
+
+
 @query(RESOLVED_SQL)
 def resolve_properties(spark, sf_dir):
     """A third of the records under the view's space, a third under another one, a third at the top level."""
@@ -295,8 +300,7 @@ def relation_list_to_ids(spark, sf_dir):
     CASE WHEN space <> 'error' THEN status_symbol END AS status_symbol,
     external_id, space FROM {POINTS_SQL}""")
 def payload_unnest(spark, sf_dir):
-    """Payloads of one series and day each: numbers for two spaces, averages for one, texts for the others."""
-    day = F.to_date("ts")
+    """Payloads of one series and hour each: numbers for two spaces, averages for one, texts for the others."""
     table = points(spark, sf_dir)
     status = F.struct(F.col("status_code").alias("code"), F.col("status_symbol").alias("symbol"))
     millis = F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp")
@@ -305,7 +309,7 @@ def payload_unnest(spark, sf_dir):
     numeric = F.when(held, F.struct(millis, "value", status.alias("status")))
     string = F.when(~held & ~rolled, F.struct(millis, F.col("status_symbol").alias("value"), status.alias("status")))
     average = F.when(rolled, F.struct(millis, F.col("value").alias("average")))
-    grouped = table.groupBy("space", "external_id", day.alias("day")).agg(
+    grouped = table.groupBy("space", "external_id", F.date_trunc("hour", "ts").alias("hour")).agg(
         F.collect_list(numeric).alias("n"), F.collect_list(string).alias("s"), F.collect_list(average).alias("a")
     )
     points_of = lambda c: F.when(F.size(c) > 0, F.struct(F.col(c).alias("datapoints")))
