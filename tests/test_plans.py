@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from viewloom.operators.aggregates import Metric, aggregate
+from viewloom.operators.datapoints import datapoints_detailed
 from viewloom.operators.filters import FilterSpec
 from viewloom.operators.scan import scan
 from workload import MODULES
-from workload.tables import ORDER_VIEW, orders
+from workload.tables import ORDER_VIEW, orders, points
 
 SF = "/root/testdata/sf0.001"
 
@@ -99,3 +100,33 @@ def test_no_python_and_no_cartesian_products_anywhere(spark):
         text = plan(spark_entry.queries()[name](spark, SF))
         for part in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert part not in text, (name, part)
+
+
+@pytest.mark.parametrize("name", ["tvf_series_detailed", "tvf_series_sql", "tvf_series_latest"])
+def test_lists_of_ids_bound_the_scan(spark, name):
+    text = plan(spark_entry.queries()[name](spark, SF))
+    pushed = " ".join(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", text))
+    assert "GreaterThanOrEqual(event_type,click)" in pushed and "LessThanOrEqual(event_type,view)" in pushed
+
+
+def test_many_ids_bound_the_scan(spark):
+    ids = [("view", f"user_{i}") for i in range(3000)]
+    text = plan(datapoints_detailed(points(spark, SF), ids, "0", "now"))
+    assert "GreaterThanOrEqual(event_type,view)" in text and "Join" in text
+
+
+def test_limits_per_series_rank_hours_only(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark_entry.queries()["per_series_limit"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ranks = re.findall(r"Window \[row_number.*", text)
+    assert ranks and all("hour" in line.split("],")[1] for line in ranks)
+    joins = re.findall(r"(?:SortMerge|ShuffledHash)Join \[(.*?)\]", text)
+    assert joins and all("hour" in keys for keys in joins)
+
+
+def test_laterals_roll_up_only_the_series_wanted(spark):
+    text = plan(spark_entry.queries()["lateral_two_series"](spark, SF))
+    assert "LeftSemi" in text and text.count("partial_max") <= 2
