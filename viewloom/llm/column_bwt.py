@@ -60,6 +60,13 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def spread(hashes: np.ndarray) -> np.ndarray:
+    """Other numbers for hashes, one to one. The least hashes of windows are all small, and would fall into few buckets."""
+    h = hashes * U64(0xD6E8FEB86659FD93)
+    h ^= h >> U64(32)
+    return h * U64(0xD6E8FEB86659FD93)
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of every `width` neighbours."""
     reach, least = 1, values
@@ -93,7 +100,7 @@ class Runs:
         packed = (hashes >> U64(32) << U64(32)) | np.arange(len(hashes), dtype=U64)  # of equal hashes the first is the least
         anchor = (sliding_least(packed, SPAN - K + 1)[starts] & U64(0xFFFFFFFF)).astype(np.int64)
         new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        return low + starts[new], low + starts[np.r_[new[1:] - 1, len(starts) - 1]], low + anchor[new], hashes[anchor[new]]
+        return low + starts[new], low + starts[np.r_[new[1:] - 1, len(starts) - 1]], low + anchor[new], spread(hashes[anchor[new]])
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes ascending, the number of each run's hash among them, and whether several documents have it."""
