@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from viewloom.llm.common import query, table
+from viewloom.llm.common import query, scratch, stored, table
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 16_000
@@ -126,8 +126,25 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["toxic", "features"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text")
-    got = rows.mapInArrow(run, "toxic int, features array<int>").toArrow()
-    features = [np.asarray(x.values.to_numpy(zero_copy_only=False), dtype=np.int64) for x in got.column("features")]
+    schema = "toxic int, features array<int>"
+    found = stored(rows.mapInArrow(run, schema), f"{scratch(docs.sparkSession)}/features")
+    n, bad = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < bad < n:
+        return fit([np.zeros(0, dtype=np.int64)] * n, np.full(n, int(bad > 0)))
+    # Only the features that `fit` would keep go to the driver.
+    counts = found.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad"))
+    rate = (F.col("n") + 0.5) / F.lit(n + 1)
+    z = F.abs((F.col("bad") - F.col("n") * F.lit(bad / n)) / F.sqrt(F.greatest(F.lit(bad) * rate * (1 - rate), F.lit(1e-9))))
+    telling = counts.withColumn("z", z).where((F.col("n") >= 3) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "feature").limit(FEATURES)
+    kept = np.array(sorted(r["feature"] for r in telling.select("feature").collect()), dtype=np.int32)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.intersect1d(x.values.to_numpy(), kept, assume_unique=True) for x in batch.column("features")]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(own, pa.list_(pa.int32()))], ["toxic", "features"])
+
+    got = found.mapInArrow(narrow, schema).toArrow()
+    features = [x.values.to_numpy().astype(np.int64) for x in got.column("features")]
     return fit(features, got.column("toxic").to_numpy())
 
 
