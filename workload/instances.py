@@ -13,7 +13,6 @@ from viewloom.model import Property, ViewDef
 from viewloom.operators.scan import conform, scan
 from workload.registry import registrar
 from workload.tables import (
-    CUSTOMER_VIEW,
     CUSTOMERS_SQL,
     ORDER_VIEW,
     ORDERS_SQL,
