@@ -244,6 +244,14 @@ def test_pipeline_is_its_stages(spark):
     assert bag(got.collect()) == bag(docs.collect()) and got.count() > 0
 
 
+def test_stages_leave_other_columns_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "doc_id AS toxic", "doc_id AS n_lines", "doc_id AS tag", "doc_id AS items", "doc_id AS fp")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert out.where("toxic <> doc_id OR n_lines <> doc_id OR tag <> doc_id OR items <> doc_id OR fp <> doc_id").count() == 0
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     path = f"{scratch(spark)}/empty"

@@ -98,8 +98,10 @@ def batch_ranges(docs: DataFrame, batches: int) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:], strict=False))[::-1]
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, batches: int = 4, fanout: int = 3) -> DataFrame:
-    """`docs` with `text` less its common lines, and the columns `n_lines` (before) and `n_dropped`.
+def dedup_lines(
+    docs: DataFrame, min_docs: int = 3, min_chars: int = 20, batches: int = 4, fanout: int = 3, counts: tuple[str, str] = ("n_lines", "n_dropped")
+) -> DataFrame:
+    """`docs` with `text` less its common lines, and two columns `counts` with its lines (before) and the dropped ones.
 
     A line whose key has at least `min_chars` characters and stands in at least `min_docs` documents goes, except in the
     document with the largest doc_id that holds it, where all its copies stay. Null or empty text is one empty line and
@@ -139,9 +141,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, batches
         joined.withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
         .withColumn("__lines", lines_of(F.col("text")))
         .withColumn("__cuts", cuts)
-        .withColumns({"n_lines": n.cast("long"), "n_dropped": F.size("__gone").cast("long"), "text": kept})
+        .withColumns({counts[0]: n.cast("long"), counts[1]: F.size("__gone").cast("long"), "text": kept})
     )
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    return out.select(*[c for c in docs.columns if c not in counts], *counts)
 
 
 ORACLE = f"""
@@ -169,7 +171,7 @@ def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less their common lines; n_chars follows the text."""
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, counts=("__n_lines", "__n_dropped"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

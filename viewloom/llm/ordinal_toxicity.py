@@ -185,5 +185,6 @@ def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not rejected."""
-    return judge(docs, table(spark, sf_dir, "labels")).where(~F.col("toxic")).select(docs.columns)
+    """Documents that are not rejected, with their columns as they are."""
+    score = severity(spark, train(docs, table(spark, sf_dir, "labels")))
+    return docs.withColumn("__s", score(F.col("text"))).where(F.col("__s.p_toxic") < 0.5).select(docs.columns)
