@@ -164,6 +164,19 @@ def test_base_spans(spark):
     assert pii_votes.find_pii(frame(spark, []).limit(0)).count() == 0
 
 
+def loosely(spark, texts):
+    """By text, the kind and match of each accepted span that is not base."""
+    found = pii_votes.find_pii(frame(spark, list(enumerate(texts)))).collect()
+    return {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"] if not s["base"]] for r in found}
+
+
+def test_failed_base_matches_keep_nothing_out(spark):
+    """Digits fit the raw card pattern, which must not keep out phone numbers without a plus and written-out addresses."""
+    texts = ["call 974-555-3436 now", "or (974) 555-3436 now", "x-y 974.555.3436 now", "ask anna42 (at) example (dot) com now", "call +1 974-555-3436 now"]
+    want = [("phone", "974-555-3436"), ("phone", "(974) 555-3436"), ("phone", "974.555.3436"), ("email", "anna42 (at) example (dot) com")]
+    assert loosely(spark, texts) == {**{i: [w] for i, w in enumerate(want)}, 4: []}
+
+
 def test_labelers_are_weighed():
     """A number that fails its check needs more than a fitting prefix; a cue word beside it is enough."""
     seen = [((1, 1, 0, 1), 400), ((-1, 1, 0, 1), 300), ((-1, -1, 0, -1), 300), ((1, 1, 1, 1), 60), ((-1, 1, 1, 1), 5), ((-1, -1, -1, -1), 20)]

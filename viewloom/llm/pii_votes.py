@@ -158,7 +158,9 @@ def candidates(docs: DataFrame) -> DataFrame:
             rows = F.transform(F.filter(column, lambda f: F.length(digits_of(f["match"])).between(13, 19)), one)
         return rows
 
-    base = F.concat(*[F.col(f"b_{k}") for k in KINDS])
+    # Only matches that pass their check keep others out: the raw card pattern fits any two neighbouring digits.
+    passing = lambda kind: F.filter(f"b_{kind}", lambda f: passes(kind, f["match"]))
+    base = F.concat(*[passing(k) for k in KINDS])
     spans = []
     for kind in KINDS:
         spans.append(judged(kind, f"b_{kind}", True))
