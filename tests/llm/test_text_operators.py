@@ -177,6 +177,11 @@ def test_failed_base_matches_keep_nothing_out(spark):
     assert loosely(spark, texts) == {**{i: [w] for i, w in enumerate(want)}, 4: []}
 
 
+def test_phone_numbers_in_texts_without_a_hyphen(spark):
+    numbers = ["974.555.3436", "974 555 3436", "(974) 555 3436", "(974)555.3436"]
+    assert loosely(spark, [f"call {x} now" for x in numbers]) == {i: [("phone", x)] for i, x in enumerate(numbers)}
+
+
 def test_labelers_are_weighed():
     """A number that fails its check needs more than a fitting prefix; a cue word beside it is enough."""
     seen = [((1, 1, 0, 1), 400), ((-1, 1, 0, 1), 300), ((-1, -1, 0, -1), 300), ((1, 1, 1, 1), 60), ((-1, 1, 1, 1), 5), ((-1, -1, -1, -1), 20)]

@@ -34,9 +34,9 @@ LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:[(\[]dot[)\]]|\.)\x20?[A-Za-z0-9-]{1,63}+){1,4}+",
     "phone": r"(?<![0-9A-Za-z+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9A-Za-z-])",
 }
-#: A text without these has no match, which is quicker to see.
+#: A text without these, or without a digit where none is named, has no match, which is quicker to see.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-NEEDS_LOOSE = {"email": "at", "phone": "-"}
+NEEDS_LOOSE = {"email": "at"}
 
 # What the gazetteer knows.
 DOMAIN_ENDS = "com org net edu gov mil int info biz io dev app eu us uk de fr es it nl be ch at se no dk fi pl pt ie ca au nz jp cn in br mx ru za kr".split()
@@ -143,7 +143,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     for kind in KINDS:
         out = located(out, f"b_{kind}", BASE[kind], NEEDS.get(kind))
         if kind in LOOSE:
-            out = located(out, f"l_{kind}", LOOSE[kind], NEEDS_LOOSE[kind])
+            out = located(out, f"l_{kind}", LOOSE[kind], NEEDS_LOOSE.get(kind))
 
     def judged(kind: str, column: str, base: bool) -> Column:
         def one(f: Column) -> Column:
