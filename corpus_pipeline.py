@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewloom.llm import line_runs, ordinal_toxicity, poisson_mix, simhash_trees, winnowing
+from viewloom.llm import line_runs, near_copies, ordinal_toxicity, poisson_mix, winnowing
 from viewloom.llm.common import scratch, stored, table
 
 STAGES = [
     ("toxicity", ordinal_toxicity.stage),
     ("line dedup", line_runs.stage),
-    ("simhash near-dedup", simhash_trees.stage),
+    ("simhash near-dedup", near_copies.stage),
     ("benchmark decontamination", winnowing.stage),
     ("mixing to target weights", poisson_mix.stage),
 ]

@@ -3,10 +3,11 @@
 import random
 
 import brute
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from viewloom.llm import column_bwt, line_runs, pii_votes, simhash_trees, winnowing
+from viewloom.llm import column_bwt, line_runs, near_copies, pii_votes, simhash_trees, winnowing
 from viewloom.llm.common import QUERIES
 
 SCHEMA = "doc_id bigint, text string, key string, n bigint"
@@ -125,6 +126,46 @@ def test_stage_keeps_one_of_each_group(spark):
     assert bag(kept.select("doc_id").collect()) == bag([(2,), (7,), (8,), (None,)])
 
 
+def similar_groups(docs: list[tuple]) -> list[set]:
+    """The row numbers of each group that links of five-word Jaccard similarity of 0.8 or more connect."""
+    sets = []
+    for _, text in docs:
+        w = (text or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    groups: list[set] = []
+    for i, a in enumerate(sets):
+        near = [g for g in groups if any(10 * len(a & sets[j]) >= 8 * len(a | sets[j]) for j in g)]
+        groups = [g for g in groups if g not in near] + [{i}.union(*near)]
+    return groups
+
+
+def near_and_far_copies() -> list[tuple]:
+    """Texts, and copies of each with words replaced here and there: similarities of about 0.6 to 1."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    docs = []
+    for n in (60, 200, 400):
+        for changes in [*range(1, 9), *range(1, 9)]:
+            base = [word() for _ in range(n)]
+            docs.append((len(docs), " ".join(base)))
+            for _ in range(max(1, changes * n // 200)):
+                base[r.randrange(n)] = word()
+            docs.append((len(docs), " ".join(base)))
+    chain = [word() for _ in range(300)]
+    for _ in range(12):  # each near the next only
+        docs.append((len(docs), " ".join(chain)))
+        chain = chain[12:] + [word() for _ in range(12)]
+    return docs
+
+
+def test_pipeline_finds_all_near_copies(spark):
+    docs = near_and_far_copies() + [(900, None), (901, " "), (902, "a b"), (903, "A  b"), (903, "A  b")]
+    stage = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    kept = [r["doc_id"] for r in stage(spark, frame(spark, docs), SF).select("doc_id").collect()]
+    assert sorted(kept) == sorted(min(docs[i][0] for i in g) for g in similar_groups(docs))
+    assert near_copies.stage(spark, frame(spark, []).limit(0), SF).count() == 0
+
+
 @pytest.mark.parametrize("seed", [7, 8])
 def test_substrings(spark, monkeypatch, seed):
     monkeypatch.setattr(column_bwt, "CHUNK_BYTES", 20_000)

@@ -37,11 +37,11 @@ SHARD_ENTRIES = 256
 FRONTIER = 1 << 20
 
 
-def fingerprint(text: str | None, size: int = SHINGLE) -> int:
-    """SimHash of a text's shingles, as a signed 64-bit number; 0 without words."""
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """The hash of each shingle of a text, in order; one if there are only `size` words or fewer, none without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z only, ASCII blanks only
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     if len(words) <= size:
         hashes = [xxhash.xxh64_intdigest(joined, SEED)]
@@ -50,8 +50,14 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
         begins = [0, *(ends[: len(words) - size] + 1).tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a:b], SEED) for a, b in zip(begins, ends[size - 1 :].tolist(), strict=True)]
+    return np.array(hashes, dtype=np.uint64)
+
+
+def fingerprint_of(values: np.ndarray) -> int:
+    """SimHash of shingle hashes, as a signed 64-bit number; 0 if there are none."""
+    if not len(values):
+        return 0
     ones = np.zeros(64, dtype=np.int64)
-    values = np.array(hashes, dtype=np.uint64)
     for at in range(0, len(values), 1 << 16):
         part = values[at : at + (1 << 16)]
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -59,6 +65,11 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(bits.view(np.int64)[0])
 
 
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
+    """SimHash of a text's shingles, as a signed 64-bit number; 0 without words."""
+    return fingerprint_of(shingle_hashes(text, size))
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, tag, fp) of each row."""
 
@@ -246,12 +257,17 @@ def op8_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest doc_id; rows without doc_id stay if no row of their group
-    has one, and of rows that share the id all do that also share the text."""
-    groups = near_duplicates(docs)
-    others = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of each group of `groups` (doc_id, tag, root; for each row of `docs`) the rows with the smallest doc_id; rows without
+    doc_id stay if no row of their group has one, and of rows that share the id all do that also share the text."""
+    named = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    found = groups.join(named, "root")
+    others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
     rows = docs.withColumn("__row", row_tag(F.col("text")))
     return rows.join(others, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__tag")), "left_anti").select(docs.columns)
 
 
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each of op8's groups stays, as `one_of_each` chooses. The pipeline's own stage is `near_copies.stage`."""
+    groups = near_duplicates(docs)
+    return one_of_each(docs, groups.select("doc_id", "tag", F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).alias("root")))
