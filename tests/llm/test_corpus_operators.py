@@ -156,6 +156,19 @@ def test_language_of_odd_texts(spark):
     assert language_ftrl.identify(docs.limit(0), learn).count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    """A language of 6 documents beside one of 3,000, and more languages than were once learned, from a sample of 200."""
+    common = [(i, "the cat and the dog " * 3, "en") for i in range(3000)]
+    rare = [(5000 + i, "egy kutya meg egy macska " * 3, "hu") for i in range(6)]
+    learn = spark.createDataFrame(common + rare, "doc_id bigint, text string, lang string")
+    docs = spark.createDataFrame([(1, "egy macska meg kutya"), (2, "the dog and cat")], "doc_id bigint, text string")
+    got = language_ftrl.identify(docs, learn, 200).collect()
+    assert [(r["doc_id"], r["lang_pred"]) for r in got] == [(1, "hu"), (2, "en")]
+    many = spark.createDataFrame([(8 * i + k, chr(0x4E00 + i) * 5, f"x{i:03}") for i in range(250) for k in range(6)], "doc_id bigint, text string, lang string")
+    model = language_ftrl.train(many, 200)
+    assert model.languages == [f"x{i:03}" for i in range(250)]
+
+
 def test_temperature_calibrates():
     r = np.random.default_rng(3)
     true = r.standard_normal((4000, 3))

@@ -2,8 +2,9 @@
 
 Texts become lower-cased letters with one blank for anything else; 1-, 2- and 3-grams of these are hashed to FEATURES
 columns. Document frequencies are counted over all documents that may be learned from. The weights are trained on a
-bounded sample of labelled documents (`sample`, those of least doc_id hash) by follow-the-regularised-leader with L1 and
-L2 penalties, which leaves most of them zero; a part of the sample is held back to fit the temperature of the softmax.
+bounded sample of labelled documents (`sample`, shared out by language, of each those of least doc_id hash) by
+follow-the-regularised-leader with L1 and L2 penalties, which leaves most of them zero; a part of each language's sample is
+held back to fit the temperature of the softmax. Every language of which a document has letters is learned.
 """
 
 from __future__ import annotations
@@ -14,18 +15,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from viewloom.llm.common import query, table
+from viewloom.llm.common import query, row_tag, table
 
 FEATURES = 1 << 14
 ORDERS = (1, 2, 3)
-#: Labelled documents that the weights are trained on, at most.
+#: Labelled documents that the weights are trained on, at most unless LEAST of each language are more.
 SAMPLE = 6_000
-#: Languages that are learned, at most: the most frequent in the sample.
-LANGUAGES = 200
+#: Documents of a language that are learned from even where there are more languages than the sample has room for.
+LEAST = 5
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.05, 0.05, 3
 BATCH = 16
 UNKNOWN = "und"
@@ -145,17 +146,13 @@ def temperature_of(scores: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(found: list[tuple[np.ndarray, np.ndarray]], languages: list[str], idf: np.ndarray) -> Model:
-    """Fit on the features of rows and how often they occur, with the rows' languages; every fifth row is for the
-    temperature only."""
-    frequent = pd.Series(languages).value_counts(sort=False).sort_index().sort_values(ascending=False, kind="stable")
-    names = sorted(frequent.index[:LANGUAGES])
+    """Fit on the features of rows and how often they occur, with the rows' languages; every fifth row of a language is for
+    the temperature only."""
+    names = sorted(set(languages))
     number = {name: i for i, name in enumerate(names)}
-    use = [i for i, x in enumerate(languages) if x in number]
-    rows = [(found[i][0], tf_idf(*found[i], idf).astype(np.float32)) for i in use]
-    y = np.array([number[languages[i]] for i in use])
-    back = np.arange(len(use)) % 5 == 4
-    if back.all() or not back.any():
-        back = np.zeros(len(use), dtype=bool)
+    rows = [(at, tf_idf(at, n, idf).astype(np.float32)) for at, n in found]
+    y = np.array([number[x] for x in languages])
+    back = pd.Series(y).groupby(y).cumcount().to_numpy() % 5 == 4
     own = np.flatnonzero(~back)
     weights, bias = ftrl([rows[i] for i in own], y[own], len(names))
     scores = np.array([rows[i][1] @ weights[rows[i][0]] + bias for i in np.flatnonzero(back)])
@@ -181,6 +178,27 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return df[:-1], int(df[-1])
 
 
+def shared_out(ids: DataFrame, sample: int) -> DataFrame:
+    """`ids` (doc_id, lang, ...) cut to `sample` rows by language: of each those of least doc_id hash, all of a language that
+    has fewer than the others' share, and LEAST of each at least."""
+    of_lang = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    sizes = sorted((r["size"], r["count"]) for r in of_lang.groupBy("size").count().collect())
+    share, room, left = 0, sample, sum(n for _, n in sizes)
+    for size, n in sizes:  # smallest languages first; what they leave of their share goes to the others
+        share = room // left
+        if size > share:
+            break
+        room, left = room - size * n, left - n
+        share = size
+    share = max(share, LEAST)
+    # A hash that twice the share's number and some more pass leaves few rows to rank, also of a very large language.
+    part = F.least(F.lit(1.0), (2.0 * share + 50) / F.col("size"))
+    rank = F.xxhash64("doc_id")
+    near = ids.join(of_lang, "lang").where(rank.cast("double") <= part * 2.0**64 - 2.0**63)
+    number = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))
+    return near.withColumn("__number", number).where(F.col("__number") <= share).drop("__number", "size")
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """The model learned from `docs` (doc_id, text, lang), rows without text or lang left out; None if there are none."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
@@ -194,12 +212,14 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
                 own = counts(text.as_py())
                 at.append(np.flatnonzero(own).astype(np.int32))
                 n.append(own[at[-1]].astype(np.int32))
-            arrays = [batch.column("lang"), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["lang", "at", "n"])
-
-    # At most `sample` ids, so they can be broadcast; only the chosen documents' counts go to the driver.
-    chosen = usable.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    got = usable.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "lang string, at array<int>, n array<int>").toArrow()
+            arrays = [batch.column("doc_id"), batch.column("lang"), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "at", "n"])
+
+    # One row of each doc_id; the chosen can be broadcast, and only their counts go to the driver.
+    tagged = usable.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("tag", row_tag(F.col("text")))
+    chosen = shared_out(tagged.groupBy("doc_id").agg(F.min(F.struct("tag", "lang")).alias("own")).select("doc_id", "own.*"), sample)
+    once = tagged.join(F.broadcast(chosen), ["doc_id", "tag", "lang"]).groupBy("doc_id", "lang").agg(F.first("text").alias("text"))
+    got = once.mapInArrow(run, "doc_id bigint, lang string, at array<int>, n array<int>").toArrow().sort_by("doc_id")
     found = [(at.values.to_numpy(), n.values.to_numpy()) for at, n in zip(got.column("at"), got.column("n"), strict=True)]
     filled = [i for i, (at, _) in enumerate(found) if len(at)]
     if not filled:
