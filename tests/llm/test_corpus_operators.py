@@ -222,6 +222,19 @@ def test_toxicity_of_odd_rows(spark):
     assert ordinal_toxicity.judge(docs.limit(0), labels).count() == 0
 
 
+def test_samples_hold_one_row_of_each_id(spark, monkeypatch):
+    """Repeated rows of an id don't reach the driver, and labels without a document take no place in the sample."""
+    seen = {}
+    monkeypatch.setattr(ordinal_toxicity, "fit", lambda features, toxic: seen.update(toxic=len(toxic)))
+    monkeypatch.setattr(language_ftrl, "fit", lambda found, languages, idf: seen.update(lang=len(languages)))
+    rows = [(i, "you awful person" if i % 2 else "what a fine day", "en") for i in range(40)] + [(1, "you awful person", "en")] * 300 + [(1, "another text", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id bigint, toxic int")
+    ordinal_toxicity.train(docs, labels, 40)
+    language_ftrl.train(docs, 40)
+    assert seen == {"toxic": 40, "lang": 40}
+
+
 # The pipeline
 
 

@@ -5,7 +5,7 @@ hashed words and word beginnings that a document contains. The given labels tell
 graded by how many different marked features (those far more frequent under the toxic label) they hold, so the grades are
 0 (not toxic), 1 (toxic) and 2 (severe). A document is rejected if P(grade >= 1) is at least one half.
 
-The model is fitted on a bounded sample of labelled rows (`sample`, those of least doc_id hash). Scores are for whole texts.
+The model is fitted on a bounded sample of labelled documents (`sample`, those of least doc_id hash, one row of each id). Scores are for whole texts.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from viewloom.llm.common import query, scratch, stored, table
+from viewloom.llm.common import query, row_tag, scratch, stored, table
 
-#: Labelled rows that the model is fitted on, at most.
+#: Labelled documents that the model is fitted on, at most.
 SAMPLE = 16_000
 BITS = 20
 BEGINNINGS = (4, 5, 6, 7)
@@ -116,8 +116,11 @@ def fit(features: list[np.ndarray], toxic: np.ndarray) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of the labelled documents. Rows without doc_id or label, and labels other than 0 and 1, are left out."""
-    chosen = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most `sample` rows of two numbers: broadcast
+    labelled = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # One row of each doc_id, and only of ids that have a document.
+    tagged = docs.select("doc_id", "text", row_tag(F.col("text")).alias("tag")).where(F.col("doc_id").isNotNull())
+    present = tagged.groupBy("doc_id").agg(F.min("tag").alias("tag")).join(labelled, "doc_id")
+    chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most `sample` rows of three numbers: broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, list[int]] = {}
@@ -125,7 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             found = [text_features(t.as_py(), memo) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["toxic", "features"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text")
+    once = tagged.join(F.broadcast(chosen), ["doc_id", "tag"]).groupBy("doc_id", "toxic").agg(F.first("text").alias("text"))
+    rows = once.select(F.col("toxic").cast("int").alias("toxic"), "text")
     schema = "toxic int, features array<int>"
     found = stored(rows.mapInArrow(run, schema), f"{scratch(docs.sparkSession)}/features")
     n, bad = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
