@@ -166,6 +166,17 @@ def test_pipeline_finds_all_near_copies(spark):
     assert near_copies.stage(spark, frame(spark, []).limit(0), SF).count() == 0
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Repeated rows, ids with two near texts, and exact copies without any id."""
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = [(3, text), (3, text), (3, text + " end"), (None, text), *[(None, "copies without an id of theirs")] * 5, (None, "copies  without an id of theirs")]
+    stage = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    kept = stage(spark, frame(spark, docs), SF)
+    assert kept.columns == ["doc_id", "text", "key", "n"]
+    got = kept.collect()
+    assert sorted((r["doc_id"] or 0 for r in got)) == [0, 3] and all(r["key"] == "k" and r["n"] == 1 for r in got)
+
+
 @pytest.mark.parametrize("seed", [7, 8])
 def test_substrings(spark, monkeypatch, seed):
     monkeypatch.setattr(column_bwt, "CHUNK_BYTES", 20_000)

@@ -258,16 +258,20 @@ def op8_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Of each group of `groups` (doc_id, tag, root; for each row of `docs`) the rows with the smallest doc_id; rows without
-    doc_id stay if no row of their group has one, and of rows that share the id all do that also share the text."""
-    named = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = groups.join(named, "root")
-    others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
+    """One row of `docs` for each group of `groups` (doc_id, tag, root; for each row of `docs`): that of the smallest doc_id,
+    none being the greatest, then of the least tag. Of rows alike in both one stays, the least by its other columns."""
+    key = lambda tag: [F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col(tag).alias("__tag")]
+    first = groups.groupBy("root").agg(F.min(F.struct(*key("tag"))).alias("least")).select("least.*")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.withColumn("__row", row_tag(F.col("text")))
-    return rows.join(others, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__tag")), "left_anti").select(docs.columns)
+    rows = rows.select(*key("__row"), F.struct(*docs.columns).alias("__whole"), F.to_json(F.struct(F.lit(0), *others)).alias("__others"))
+    # Equal rows become one in each partition before they meet, so a text that repeats a million times is no burden.
+    once = rows.groupBy("__none", "__id", "__tag").agg(F.min_by("__whole", "__others").alias("__whole"))
+    return once.join(first, ["__none", "__id", "__tag"], "left_semi").select("__whole.*")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each of op8's groups stays, as `one_of_each` chooses. The pipeline's own stage is `near_copies.stage`."""
+    """One document of each of op8's groups stays, as `one_of_each` chooses; of groups without any doc_id, one of each
+    fingerprint. The pipeline's own stage is `near_copies.stage`."""
     groups = near_duplicates(docs)
     return one_of_each(docs, groups.select("doc_id", "tag", F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).alias("root")))
