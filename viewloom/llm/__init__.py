@@ -2,6 +2,7 @@
 
 from viewloom.llm import (  # noqa: F401
     column_bwt,
+    filter_audit,
     language_ftrl,
     line_runs,
     one_bit_codes,

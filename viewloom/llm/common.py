@@ -41,13 +41,24 @@ def row_tag(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder under the shared one of spark.checkpoint.dir; only where that is unset, as in tests, a local one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: spark.checkpoint.dir, or else the one given to setCheckpointDir. Where neither is
+    set, a session in one process, as in tests, gets a local one; on a cluster that is an error, since a folder of one machine
+    would lose rows."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='viewloom-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/viewloom-{uuid.uuid4().hex}"
+    if base:
+        return base
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='viewloom-')}")
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/viewloom-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
