@@ -3,6 +3,7 @@
 from viewloom.llm import (  # noqa: F401
     column_bwt,
     filter_audit,
+    hard_negatives,
     language_ftrl,
     line_runs,
     one_bit_codes,
@@ -11,6 +12,7 @@ from viewloom.llm import (  # noqa: F401
     poisson_mix,
     simhash_trees,
     url_rules,
+    warc_salvage,
     winnowing,
 )
 from viewloom.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,50 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Most tasks that blocks of rows are dealt to.
+MEETING_TASKS = 10_000
+
+
+def meet(
+    rows: DataFrame,
+    queries: DataFrame,
+    key: str,
+    blocks: int,
+    prepare: Callable[[pa.Table], object],
+    answer: Callable[[object, pa.Table], list[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """`answer(prepare(block of rows), batch of queries)` for every block of rows and every query.
+
+    Rows are dealt out in blocks by a hash of `key`, shuffled once and not copied; a query goes to every block. A task reads a
+    block's rows, then streams the queries that were sorted behind them, so it holds one block and one batch of queries,
+    however many queries there are. Both tables have the same columns.
+    """
+    own = F.pmod(F.xxhash64(F.lit("block"), F.col(key)), F.lit(blocks)).cast("int")
+    data = rows.select(own.alias("block"), F.lit(0).alias("kind"), *rows.columns)
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), *rows.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, ready = None, [], None
+        for batch in batches:
+            at = np.c_[batch.column("block").to_numpy(), batch.column("kind").to_numpy()]
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1), len(at)]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if start == end:
+                    continue
+                part = pa.Table.from_batches([batch.slice(start, end - start)])
+                if at[start, 0] != block:
+                    block, held, ready = at[start, 0], [], None
+                if at[start, 1] == 0:
+                    held.append(part)
+                elif held:
+                    ready = ready or prepare(pa.concat_tables(held))
+                    yield from answer(ready, part)
+
+    dealt = data.unionByName(asked).repartitionById(min(blocks, MEETING_TASKS), "block")
+    return dealt.sortWithinPartitions("block", "kind").mapInArrow(run, schema)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote and that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
