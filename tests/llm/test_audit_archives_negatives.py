@@ -230,7 +230,7 @@ def test_few_and_no_vectors(spark):
     assert hard_negatives.mine(vectors(spark, rows), F.lit(None).cast("boolean")).count() == 0
     large = [(i, [1e6 * (i + 1), 3.0], i % 2) for i in range(6)]
     assert bag(hard_negatives.mine(vectors(spark, large), F.lit(True)).collect()) == bag(mined(large, lambda i: True))
-    assert [hard_negatives.number_type(x, 64) for x in (256, 1 << 20, 1 << 23)] == [np.float32, np.float64, np.int64]
+    assert [hard_negatives.number_type(x, 64) for x in (256, 1 << 20, 1 << 25)] == [np.float32, np.float64, np.int64]
     with pytest.raises(ValueError):
         hard_negatives.number_type(1 << 32, 64)
 
