@@ -169,12 +169,13 @@ def series_aggregate(
 def latest_by_series(table: DataFrame, before: datetime) -> DataFrame:
     """The last point strictly before a time, per series: space, external_id, timestamp, value, status_code.
 
-    One aggregate over a fixed-width buffer, combined on the map side; value and status are of one and the same point.
+    One hash aggregate, combined on the map side: a series has one point at a time, so that value and status are of one and
+    the same point although each is picked by itself.
     """
     rows = complete(table)
     earlier = rows.where(F.col("ts") < time_literal(before, rows.schema["ts"].dataType))
-    last = F.max_by(F.struct(F.col("ts").alias("timestamp"), "value", "status_code"), "ts")
-    return earlier.groupBy(*SERIES).agg(last.alias("last")).select(*SERIES, "last.*")
+    picked = (F.max_by(c, "ts").alias(c) for c in ("value", "status_code"))
+    return earlier.groupBy(*SERIES).agg(F.max("ts").alias("timestamp"), *picked)
 
 
 def _latest_columns(include_status: bool) -> list[Column | str]:

@@ -543,8 +543,8 @@ RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE, external_id STRING, space STRIN
         latest: f"""{create} {latest}(instance_ids STRING, before STRING DEFAULT 'now',
   include_status BOOLEAN DEFAULT false)
 RETURNS TABLE(time_series_external_id STRING, timestamp TIMESTAMP, value DOUBLE, status_code INT) RETURN
-  SELECT concat(space, ':', external_id), CAST(last.ts AS TIMESTAMP), last.value, IF({arg(latest, 'include_status')}, last.code, NULL)
-  FROM (SELECT space, external_id, max_by(struct(ts, value, code), ts) AS last
+  SELECT concat(space, ':', external_id), CAST(ts AS TIMESTAMP), value, IF({arg(latest, 'include_status')}, code, NULL)
+  FROM (SELECT space, external_id, max(ts) AS ts, max_by(value, ts) AS value, max_by(code, ts) AS code
     FROM ({many_series(latest, f'p.*, {code} AS code', f'p.ts < CAST({before} AS {ts_type})')}) GROUP BY space, external_id)""",
     }
 
