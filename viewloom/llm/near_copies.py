@@ -5,8 +5,11 @@ pay for such a radius. So candidates are the links of the BK-trees (SimHash of f
 that share one of BANDS MinHash bands. A link counts only if the exact Jaccard similarity of the two texts' shingles is
 at least 0.8; groups are what confirmed links connect.
 
-Members of a band's bucket are compared with one of them first, so a group of thousands of near copies is joined up by
-thousands of comparisons and not millions. What a bucket still holds apart after that is compared pair by pair.
+Members of a band's bucket meet one of them first, so a group of thousands of near copies is joined up by thousands of
+comparisons and not millions. A bucket that still holds members apart is compared pair by pair if it is small (SMALL). The
+members of a larger one, which many texts of one template may share, are dealt anew by more MinHash rows, FORESTS times with
+different ones, and again with still more rows as long as that leaves large buckets: each turn's rows are in
+proportion to the members, whatever the size of a bucket, and none is cut off.
 """
 
 from __future__ import annotations
@@ -15,80 +18,167 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewloom.llm.common import row_tag, scratch, stored
 from viewloom.llm.components import components
-from viewloom.llm.simhash_trees import fingerprint_of, links, one_of_each, shingle_hashes
+from viewloom.llm.simhash_trees import SEED, fingerprint_of, links, one_of_each
 
 SHINGLE = 5
 #: Least similarity of a link, as a fraction of whole numbers.
 OVER, UNDER = 4, 5
 #: A pair of similarity s shares a band with a chance of 1 - (1 - s ** ROWS) ** BANDS: 0.9999 at 0.8.
 BANDS, ROWS = 24, 5
-#: Shingles whose hashes under all functions are held at once.
-BLOCK = 1 << 12
+MINIMA = BANDS * ROWS
+#: Buckets of so many members are compared pair by pair.
+SMALL = 32
+#: How often members of a larger bucket are dealt anew in a turn, and how many MinHash rows each turn adds.
+FORESTS, DEEPER = 8, 3
+#: Shingles whose hashes under all functions are held at once; words whose hashes a task remembers.
+BLOCK, WORDS = 1 << 12, 1 << 18
 
 _random = np.random.default_rng(42)
-_FACTORS, _SHIFTS, _MIX = (_random.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) for _ in range(3))
+_FACTORS, _SHIFTS, _MIX = (_random.integers(0, 1 << 64, MINIMA, dtype=np.uint64) for _ in range(3))
 _FACTORS, _MIX = _FACTORS | np.uint64(1), (_MIX | np.uint64(1)).reshape(BANDS, ROWS)
 _BAND = _random.integers(0, 1 << 64, BANDS, dtype=np.uint64)
+_PLACES = _random.integers(0, 1 << 64, SHINGLE, dtype=np.uint64) | np.uint64(1)
 
 
-def bands(distinct: np.ndarray) -> np.ndarray:
-    """One number for each band, of a text's distinct shingle hashes."""
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+class WordHashes(dict):
+    """Hashes of words, worked out once each."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return value
+
+
+def shingles(text: str | None, known: WordHashes) -> np.ndarray:
+    """The hash of each five-word shingle, in order: words' hashes mixed by place. Fewer words are one shingle, none give none."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z only, ASCII blanks only
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    of_words = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    size = min(SHINGLE, len(words))
+    mixed = np.full(len(words) - size + 1, size, dtype=np.uint64)
+    for at in range(size):
+        mixed += of_words[at : len(words) - size + 1 + at] * _PLACES[at]
+        mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    return mixed ^ mixed >> np.uint64(32)
+
+
+def minima(distinct: np.ndarray) -> np.ndarray:
+    """MinHash of a text's distinct shingle hashes."""
+    low = np.full(MINIMA, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(distinct), BLOCK):
         part = distinct[at : at + BLOCK]
         np.minimum(low, (_FACTORS[:, None] * part + _SHIFTS[:, None]).min(axis=1), out=low)
-    low ^= low >> np.uint64(29)
+    return low ^ low >> np.uint64(29)
+
+
+def bands(low: np.ndarray) -> np.ndarray:
+    """One number for each band."""
     return (low.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) ^ _BAND
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, fp, n, bands) of each row: n counts distinct shingles."""
+    """(doc_id, tag, fp, n, bands, rows) of each row: n counts distinct shingles, `rows` has 16 bits of each minimum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for batch in batches:
-            fps, sizes, keys = [], [], []
+            fps, sizes, keys, rows = [], [], [], []
             for text in batch.column("text"):
-                hashes = shingle_hashes(text.as_py(), SHINGLE)
+                hashes = shingles(text.as_py(), known)
                 distinct = np.unique(hashes)
+                low = minima(distinct)
                 fps.append(fingerprint_of(hashes))
                 sizes.append(len(distinct))
-                keys.append(bands(distinct).view(np.int64))
-            arrays = [batch.column("doc_id"), batch.column("tag"), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "tag", "fp", "n", "bands"])
+                keys.append(bands(low).view(np.int64))
+                rows.append((low * _MIX.ravel() >> np.uint64(48)).astype(np.uint16).tobytes())
+            arrays = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), *arrays], ["doc_id", "tag", "fp", "n", "bands", "rows"])
 
-    schema = "doc_id bigint, tag bigint, fp bigint, n bigint, bands array<bigint>"
+    schema = "doc_id bigint, tag bigint, fp bigint, n bigint, bands array<bigint>, rows binary"
     return docs.select("doc_id", row_tag(F.col("text")).alias("tag"), "text").mapInArrow(run, schema)
 
 
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(tag, shingles) of `texts` (tag, text): the distinct shingle hashes, sorted, 8 bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            sets = [np.unique(shingles(text.as_py(), known)).tobytes() for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("tag"), pa.array(sets, pa.binary())], ["tag", "shingles"])
+
+    return texts.select("tag", "text").mapInArrow(run, "tag bigint, shingles binary")
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets of distinct hashes have the least similarity; two empty ones do."""
     common = len(np.intersect1d(a, b, assume_unique=True))
     return UNDER * common >= OVER * (len(a) + len(b) - common)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of tags whose texts are similar; `texts` has (tag, text) once for each tag."""
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of tags whose texts are similar; `sets` has (tag, shingles) once for each tag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            kept = []
-            for i in range(batch.num_rows):
-                if b[i] != last:  # pairs come sorted by b but where a skewed join is split
-                    last, own = b[i], np.unique(shingle_hashes(batch.column("text_b")[i].as_py(), SHINGLE))
-                if similar(np.unique(shingle_hashes(batch.column("text_a")[i].as_py(), SHINGLE)), own):
-                    kept.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in kept], pa.int64()) for x in (a, b)], ["a", "b"])
+            held = ([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(c)] for c in ("of_a", "of_b"))
+            kept = pa.array([similar(a, b) for a, b in zip(*held, strict=True)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(kept)
+
+    both = pairs.join(sets.select(F.col("tag").alias("a"), F.col("shingles").alias("of_a")), "a")
+    both = both.join(sets.select(F.col("tag").alias("b"), F.col("shingles").alias("of_b")), "b")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def ranked_pairs(found: DataFrame) -> DataFrame:
+    """(a, b) for each pair of `found` (x, y: structs of tag and n) once, b being of least rank, without those that their
+    sizes rule out."""
+    fits = F.least("x.n", "y.n") * UNDER >= F.greatest("x.n", "y.n") * OVER
+    x, y = (F.struct(F.xxhash64(F.col(c)["tag"]).alias("rank"), F.col(c)["tag"].alias("tag")) for c in ("x", "y"))
+    met = found.where((F.col("x.tag") != F.col("y.tag")) & fits)
+    return met.select(F.greatest(x, y)["tag"].alias("a"), F.least(x, y)["tag"].alias("b")).distinct()
+
+
+def starred(buckets: DataFrame, turn: int) -> DataFrame:
+    """Every member of a bucket (key, tag, n) with the bucket's member of least rank, as (x, y)."""
+    first = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "tag").alias("rank"), "tag", "n")).alias("to"), F.count(F.lit(1)).alias("size"))
+    return buckets.join(first.where("size > 1").select("key", "to"), "key").select(F.struct("tag", "n").alias("x"), F.struct("to.tag", "to.n").alias("y"))
 
-    both = pairs.join(texts.select(F.col("tag").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("tag").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+
+def of_small(buckets: DataFrame) -> DataFrame:
+    """Pairs (x, y) with different roots in the buckets (key, tag, n, root), which have SMALL members at most."""
+    sides = [buckets.select("key", F.struct("tag", "n").alias(c), F.col("root").alias(f"root_{c}")) for c in ("x", "y")]
+    return sides[0].join(sides[1], "key").where("x.tag < y.tag AND root_x <> root_y").select("x", "y")
+
+
+def mixed(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The buckets that hold members of different roots, small and large ones apart, with `root`."""
+    named = buckets.join(roots.withColumnRenamed("node", "tag"), "tag", "left").withColumn("root", F.coalesce("root", "tag"))
+    sizes = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+    sizes = sizes.where("low <> high").select("key", (F.col("size") <= SMALL).alias("small"))
+    held = named.join(sizes, "key")
+    return held.where("small").drop("small"), held.where("NOT small").drop("small")
+
+
+def dealt_anew(members: DataFrame, turn: int) -> DataFrame:
+    """`members` (key, band, tag, n, rows) in finer buckets: each FORESTS times, by its bucket and `turn` * DEEPER more
+    minima, which are others each time and none of the band's own."""
+    rows = F.concat("rows", "rows")  # the minima in a circle
+    free = MINIMA - ROWS - DEEPER * turn
+    keys = []
+    for forest in range(FORESTS):
+        at = (F.col("band") + 1) * ROWS + (forest * MINIMA // FORESTS + 7 * turn) % (free + 1)
+        keys.append(F.xxhash64("key", F.lit(turn), F.lit(forest), F.substring(rows, 2 * at + 1, F.lit(2 * DEEPER * turn))))
+    return members.select("band", "tag", "n", F.col("key").alias("base"), F.explode(F.array(*keys)).alias("key"))
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -101,46 +191,52 @@ def near_copies(docs: DataFrame) -> DataFrame:
     folder = scratch(spark)
     rows = stored(sketches(docs), f"{folder}/sketches")
     # Rows of one text have one sketch.
-    texts = stored(rows.groupBy("tag").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands")), f"{folder}/distinct")
-    fits = lambda x, y: F.least(x, y) * UNDER >= F.greatest(x, y) * OVER
+    once = (F.first(c).alias(c) for c in ("fp", "n", "bands", "rows"))
+    texts = stored(rows.groupBy("tag").agg(*once), f"{folder}/distinct")
 
     # The BK-trees' links, between the least tags of the fingerprints, and from every other tag to the least.
-    least = lambda key: texts.groupBy(key).agg(F.min(F.struct("tag", "n")).alias("to"))
-    entries = stored(least("fp"), f"{folder}/entries")
+    entries = stored(texts.groupBy("fp").agg(F.min(F.struct("tag", "n")).alias("to")), f"{folder}/entries")
     of_trees = links(entries.select("fp"), max(entries.count(), 1), folder)
     from_a = entries.select(F.col("fp").alias("a"), F.col("to").alias("x"))
     from_b = entries.select(F.col("fp").alias("b"), F.col("to").alias("y"))
     linked = of_trees.join(from_a, "a").join(from_b, "b").select("x", "y")
     equal = texts.join(entries, "fp").select(F.struct("tag", "n").alias("x"), F.col("to").alias("y"))
 
-    buckets = stored(texts.select("tag", "n", F.explode("bands").alias("key")), f"{folder}/buckets")
-    first = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("tag").alias("rank"), "tag", "n")).alias("to"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    starred = buckets.join(first, "key").select(F.struct("tag", "n").alias("x"), F.struct("to.tag", "to.n").alias("y"))
-
-    def pairs(found: DataFrame) -> DataFrame:
-        """Each pair once, the least-ranked tag as b, without those that their sizes rule out."""
-        ranked = found.where((F.col("x.tag") != F.col("y.tag")) & fits(F.col("x.n"), F.col("y.n")))
-        x, y = (F.struct(F.xxhash64(F.col(c)["tag"]).alias("rank"), F.col(c)["tag"].alias("tag")) for c in ("x", "y"))
-        return ranked.select(F.greatest(x, y)["tag"].alias("a"), F.least(x, y)["tag"].alias("b")).distinct()
+    every = texts.select("tag", "n", F.posexplode("bands").alias("band", "key"))
+    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
+    buckets = stored(every.join(shared, "key", "left_semi"), f"{folder}/buckets")
 
-    compared = stored(pairs(linked.unionByName(equal).unionByName(starred)), f"{folder}/pairs")
+    compared = stored(ranked_pairs(linked.unionByName(equal).unionByName(starred(buckets, 0))), f"{folder}/pairs0")
+    wanted = buckets.select("tag").unionByName(compared.select(F.col("a").alias("tag"))).unionByName(compared.select(F.col("b").alias("tag")))
     held = docs.select(row_tag(F.col("text")).alias("tag"), "text").groupBy("tag").agg(F.first("text").alias("text"))
-    shared = buckets.join(first.select("key"), "key", "left_semi").select("tag").unionByName(compared.select(F.col("a").alias("tag"))).unionByName(compared.select(F.col("b").alias("tag")))
-    held = stored(held.join(shared.distinct(), "tag", "left_semi"), f"{folder}/texts")
-    edges = stored(confirmed(compared, held), f"{folder}/links")
-    roots = components(edges, f"{folder}/first")
-
-    # What buckets still hold apart.
-    apart = buckets.join(first.select("key"), "key", "left_semi").join(roots.withColumnRenamed("node", "tag"), "tag", "left").withColumn("root", F.coalesce("root", "tag"))
-    apart = stored(apart, f"{folder}/rooted")
-    mixed = apart.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    apart = apart.join(mixed, "key", "left_semi")
-    sides = [apart.select("key", F.struct("tag", "n").alias(c), F.col("root").alias(f"root_{c}")) for c in ("x", "y")]
-    rest = sides[0].join(sides[1], "key").where("x.tag < y.tag AND root_x <> root_y").select("x", "y")
-    rest = stored(pairs(rest).join(compared, ["a", "b"], "left_anti"), f"{folder}/rest")
-    more = stored(confirmed(rest, held), f"{folder}/more")
-    if not more.isEmpty():
-        roots = components(edges.unionByName(more), f"{folder}/second")
+    sets = stored(shingle_sets(held.join(wanted.distinct(), "tag", "left_semi")), f"{folder}/sets")
+    edges = stored(confirmed(compared, sets), f"{folder}/links0")
+    roots = components(edges, f"{folder}/parts0")
+
+    def compare(found: DataFrame, turn: int) -> bool:
+        """Confirm pairs that were not compared before; whether any link is new."""
+        nonlocal compared, edges, roots
+        fresh = stored(ranked_pairs(found).join(compared, ["a", "b"], "left_anti"), f"{folder}/pairs{turn}")
+        more = stored(confirmed(fresh, sets), f"{folder}/links{turn}")
+        compared = compared.unionByName(fresh)
+        if more.isEmpty():
+            return False
+        edges = edges.unionByName(more)
+        roots = components(edges, f"{folder}/parts{turn}")
+        return True
+
+    # What buckets still hold apart: pair by pair, or dealt anew.
+    small, large = (stored(part, f"{folder}/{name}") for part, name in zip(mixed(buckets, roots), ("small", "large"), strict=True))
+    compare(of_small(small), 1)
+    members = large.drop("root")
+    for turn in range(1, (MINIMA - ROWS) // DEEPER):
+        if members.isEmpty():
+            break
+        finer = stored(dealt_anew(members.join(texts.select("tag", "rows"), "tag"), turn), f"{folder}/finer{turn}")
+        compare(starred(finer, turn), 2 * turn)
+        small, large = (stored(part, f"{folder}/{name}{turn}") for part, name in zip(mixed(finer, roots), ("small", "large"), strict=True))
+        compare(of_small(small), 2 * turn + 1)
+        members = large.select(F.col("base").alias("key"), "band", "tag", "n").distinct()
     return rows.select("doc_id", "tag").join(roots.withColumnRenamed("node", "tag"), "tag", "left").select("doc_id", "tag", F.coalesce("root", "tag").alias("root"))
 
 
