@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewloom.llm import column_bwt, line_runs, near_copies, pii_votes, simhash_trees, winnowing
-from viewloom.llm.common import QUERIES
+from viewloom.llm.common import QUERIES, scratch
 
 SCHEMA = "doc_id bigint, text string, key string, n bigint"
 SF = "/root/testdata/sf0.001"
@@ -258,3 +258,26 @@ def test_queries_on_given_tables(spark, name, plain):
     if name == "op1_pii_votes":
         got = got.select("doc_id", "base_sha256")
     assert bag(got.collect()) == bag(plain(docs))
+
+
+def test_runs_merge_where_they_lie(spark):
+    """Runs are merged without a shuffle, and a batch is dealt to their buckets once."""
+    runs = line_runs.LineRuns(spark, f"{scratch(spark)}/runs", 3, 3)
+    keys = lambda low, high: spark.range(low, high).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("key"), F.lit(1).cast("long").alias("docs"), F.col("id").alias("keeper"))
+    for at in range(4):
+        runs.add(keys(at * 500, 2000))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    merged = runs.merged(runs.runs())
+    assert "Exchange" not in plan(merged) and plan(runs.unknown(keys(0, 9))).count("Exchange hashpartitioning") == 1
+    assert merged.count() == 2000 and runs.common().count() == 1000
+    assert runs.unknown(keys(900, 1100)).count() == 100
+    runs.close()
+
+
+def test_lines_of_long_texts(spark):
+    """Texts of 100,000 lines, all shared: linear in the text, so seconds and not hours."""
+    lines = [f"line {i} of twenty characters and more" for i in range(100_000)]
+    docs = [(i, "\n".join([*lines, f"own {i}", ""])) for i in range(3)] + [(9, "\n".join(lines[::2]))]
+    got = line_runs.dedup_lines(frame(spark, docs, 1)).select("doc_id", "n_lines", "n_dropped", F.length("text")).collect()
+    assert bag(got)[:2] == [(0, 100_002, 100_000, 6), (1, 100_002, 100_000, 6)]
+    assert bag(got)[2][:3] == (2, 100_002, 50_000) and bag(got)[3][:3] == (9, 50_000, 0)
