@@ -6,15 +6,17 @@ that share one of BANDS MinHash bands. A link counts only if the exact Jaccard s
 at least 0.8; groups are what confirmed links connect.
 
 Members of a band's bucket meet one of them first, so a group of thousands of near copies is joined up by thousands of
-comparisons and not millions. A bucket that still holds members apart is compared pair by pair if it is small (SMALL). The
-members of a larger one, which many texts of one template may share, are dealt anew by more MinHash rows, FORESTS times with
-different ones, and again with still more rows as long as that leaves large buckets: each turn's rows are in
-proportion to the members, whatever the size of a bucket, and none is cut off.
+comparisons and not millions. In a bucket that still holds members apart, those outside its largest group are strays. If
+it has few of them (STRAYS) or is small (SMALL), every member is compared with every stray. The members of other buckets, which many texts of
+one template may share, are dealt anew by more MinHash rows, FORESTS times with different ones, and again more often with
+still more rows as long as that leaves such buckets: each turn's rows are in proportion to the members, whatever the
+size of a bucket, and none is cut off.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +34,11 @@ OVER, UNDER = 4, 5
 #: A pair of similarity s shares a band with a chance of 1 - (1 - s ** ROWS) ** BANDS: 0.9999 at 0.8.
 BANDS, ROWS = 24, 5
 MINIMA = BANDS * ROWS
-#: Buckets of so many members are compared pair by pair.
-SMALL = 32
-#: How often members of a larger bucket are dealt anew in a turn, and how many MinHash rows each turn adds.
-FORESTS, DEEPER = 8, 3
+#: Buckets of so many members, or with so many of them outside the largest group, are compared pair by pair.
+SMALL, STRAYS = 32, 8
+#: How often members of a larger bucket are dealt anew in the first turn, and that many times more in each that follows; how
+#: many MinHash rows each turn adds.
+FORESTS, DEEPER = 4, 4
 #: Shingles whose hashes under all functions are held at once; words whose hashes a task remembers.
 BLOCK, WORDS = 1 << 12, 1 << 18
 
@@ -154,29 +157,32 @@ def starred(buckets: DataFrame, turn: int) -> DataFrame:
     return buckets.join(first.where("size > 1").select("key", "to"), "key").select(F.struct("tag", "n").alias("x"), F.struct("to.tag", "to.n").alias("y"))
 
 
-def of_small(buckets: DataFrame) -> DataFrame:
-    """Pairs (x, y) with different roots in the buckets (key, tag, n, root), which have SMALL members at most."""
-    sides = [buckets.select("key", F.struct("tag", "n").alias(c), F.col("root").alias(f"root_{c}")) for c in ("x", "y")]
-    return sides[0].join(sides[1], "key").where("x.tag < y.tag AND root_x <> root_y").select("x", "y")
+def of_few(buckets: DataFrame) -> DataFrame:
+    """Pairs (x, y) of a stray and a member with another root, in buckets (key, tag, n, root, stray)."""
+    side = lambda rows, c: rows.select("key", F.struct("tag", "n").alias(c), F.col("root").alias(f"root_{c}"), F.col("stray").alias(f"stray_{c}"))
+    met = side(buckets.where("stray"), "x").join(side(buckets, "y"), "key")
+    return met.where("root_x <> root_y AND (x.tag < y.tag OR NOT stray_y)").select("x", "y")
 
 
-def mixed(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The buckets that hold members of different roots, small and large ones apart, with `root`."""
+def mixed(buckets: DataFrame, roots: DataFrame) -> dict[str, DataFrame]:
+    """The buckets that hold members of different roots, with `root` and `stray`: those with few strays and those with many."""
     named = buckets.join(roots.withColumnRenamed("node", "tag"), "tag", "left").withColumn("root", F.coalesce("root", "tag"))
-    sizes = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-    sizes = sizes.where("low <> high").select("key", (F.col("size") <= SMALL).alias("small"))
-    held = named.join(sizes, "key")
-    return held.where("small").drop("small"), held.where("NOT small").drop("small")
+    groups = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = groups.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("home"))
+    strays = F.col("size") - F.col("home.n")
+    sizes = sizes.where(strays > 0).select("key", F.col("home.root").alias("home"), ((strays <= STRAYS) | (F.col("size") <= SMALL)).alias("few"))
+    held = named.join(sizes, "key").withColumn("stray", F.col("root") != F.col("home")).drop("home")
+    return {"few": held.where("few").drop("few"), "many": held.where("NOT few").drop("few")}
 
 
 def dealt_anew(members: DataFrame, turn: int) -> DataFrame:
-    """`members` (key, band, tag, n, rows) in finer buckets: each FORESTS times, by its bucket and `turn` * DEEPER more
-    minima, which are others each time and none of the band's own."""
+    """`members` (key, band, tag, n, rows) in finer buckets: each FORESTS * `turn` times, by its bucket and DEEPER * `turn`
+    more minima, which are others each time and none of the band's own."""
     rows = F.concat("rows", "rows")  # the minima in a circle
-    free = MINIMA - ROWS - DEEPER * turn
+    forests, places = FORESTS * turn, MINIMA - ROWS - DEEPER * turn + 1
     keys = []
-    for forest in range(FORESTS):
-        at = (F.col("band") + 1) * ROWS + (forest * MINIMA // FORESTS + 7 * turn) % (free + 1)
+    for forest in range(forests):
+        at = (F.col("band") + 1) * ROWS + (forest * places // forests + turn) % places
         keys.append(F.xxhash64("key", F.lit(turn), F.lit(forest), F.substring(rows, 2 * at + 1, F.lit(2 * DEEPER * turn))))
     return members.select("band", "tag", "n", F.col("key").alias("base"), F.explode(F.array(*keys)).alias("key"))
 
@@ -206,37 +212,33 @@ def near_copies(docs: DataFrame) -> DataFrame:
     shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     buckets = stored(every.join(shared, "key", "left_semi"), f"{folder}/buckets")
 
-    compared = stored(ranked_pairs(linked.unionByName(equal).unionByName(starred(buckets, 0))), f"{folder}/pairs0")
-    wanted = buckets.select("tag").unionByName(compared.select(F.col("a").alias("tag"))).unionByName(compared.select(F.col("b").alias("tag")))
+    first = stored(ranked_pairs(linked.unionByName(equal).unionByName(starred(buckets, 0))), f"{folder}/pairs0")
+    wanted = buckets.select("tag").unionByName(first.select(F.col("a").alias("tag"))).unionByName(first.select(F.col("b").alias("tag")))
     held = docs.select(row_tag(F.col("text")).alias("tag"), "text").groupBy("tag").agg(F.first("text").alias("text"))
     sets = stored(shingle_sets(held.join(wanted.distinct(), "tag", "left_semi")), f"{folder}/sets")
-    edges = stored(confirmed(compared, sets), f"{folder}/links0")
+    compared, edges = first, stored(confirmed(first, sets), f"{folder}/links0")
     roots = components(edges, f"{folder}/parts0")
 
-    def compare(found: DataFrame, turn: int) -> bool:
-        """Confirm pairs that were not compared before; whether any link is new."""
-        nonlocal compared, edges, roots
-        fresh = stored(ranked_pairs(found).join(compared, ["a", "b"], "left_anti"), f"{folder}/pairs{turn}")
+    # What buckets still hold apart: pair by pair where strays are few, else the members dealt anew.
+    few, many = (stored(part, f"{folder}/{name}0") for name, part in mixed(buckets, roots).items())
+    members, pending = many.select("key", "band", "tag", "n"), [of_few(few)]
+    for turn in range(1, (MINIMA - ROWS) // DEEPER + 1):
+        dealt = not members.isEmpty()
+        if dealt:
+            finer = stored(dealt_anew(members.join(texts.select("tag", "rows"), "tag"), turn), f"{folder}/finer{turn}")
+            parts = mixed(finer, roots)
+            pending += [starred(parts["many"], turn), of_few(parts["few"])]
+        if not pending:
+            break
+        fresh = stored(ranked_pairs(reduce(DataFrame.unionByName, pending)).join(compared, ["a", "b"], "left_anti"), f"{folder}/pairs{turn}")
         more = stored(confirmed(fresh, sets), f"{folder}/links{turn}")
-        compared = compared.unionByName(fresh)
-        if more.isEmpty():
-            return False
-        edges = edges.unionByName(more)
-        roots = components(edges, f"{folder}/parts{turn}")
-        return True
-
-    # What buckets still hold apart: pair by pair, or dealt anew.
-    small, large = (stored(part, f"{folder}/{name}") for part, name in zip(mixed(buckets, roots), ("small", "large"), strict=True))
-    compare(of_small(small), 1)
-    members = large.drop("root")
-    for turn in range(1, (MINIMA - ROWS) // DEEPER):
-        if members.isEmpty():
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            roots = components(edges, f"{folder}/parts{turn}")
+        if not dealt:
             break
-        finer = stored(dealt_anew(members.join(texts.select("tag", "rows"), "tag"), turn), f"{folder}/finer{turn}")
-        compare(starred(finer, turn), 2 * turn)
-        small, large = (stored(part, f"{folder}/{name}{turn}") for part, name in zip(mixed(finer, roots), ("small", "large"), strict=True))
-        compare(of_small(small), 2 * turn + 1)
-        members = large.select(F.col("base").alias("key"), "band", "tag", "n").distinct()
+        compared, pending = compared.unionByName(fresh), []
+        members = stored(mixed(finer, roots)["many"].select(F.col("base").alias("key"), "band", "tag", "n").distinct(), f"{folder}/members{turn}")
     return rows.select("doc_id", "tag").join(roots.withColumnRenamed("node", "tag"), "tag", "left").select("doc_id", "tag", F.coalesce("root", "tag").alias("root"))
 
 
