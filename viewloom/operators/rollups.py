@@ -70,7 +70,7 @@ def floor_to(position: Column, width: int) -> Column:
     return position - F.pmod(position, F.lit(width).cast("bigint"))
 
 
-def _instant(position: Column, data_type: T.DataType) -> Column:
+def instant(position: Column, data_type: T.DataType) -> Column:
     moment = F.timestamp_micros(position)
     return moment.cast(data_type) if isinstance(data_type, T.TimestampNTZType) else moment
 
@@ -107,7 +107,7 @@ def rollup(
         if start is None or end is None:
             raise ValueError(f"{name} needs a start and an end")
         rows = _gridded(placed, name, width, micros(start), micros(end))
-    stamp = _instant(F.col("bucket"), points.schema["ts"].dataType)
+    stamp = instant(F.col("bucket"), points.schema["ts"].dataType)
     return rows.select(*SERIES, stamp.alias("timestamp"), "value")
 
 
@@ -133,7 +133,7 @@ def bucket_counts(points: DataFrame, granularities: list[str]) -> DataFrame:
         .groupBy("granularity", "bucket")
         .agg(F.sum("n").alias("points"))
         .select(
-            "granularity", _instant(F.col("bucket"), points.schema["ts"].dataType).alias("timestamp"), "points"
+            "granularity", instant(F.col("bucket"), points.schema["ts"].dataType).alias("timestamp"), "points"
         )
     )
 
