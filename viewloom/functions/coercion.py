@@ -306,4 +306,6 @@ def coerce_columns(
         if extra:
             read = read._replace(**{extra: F.col(f"{labels[name]}_{extra}")})
         columns.append(_coerce(read, data_type).alias(name))
-    return complete.select(*keep, *columns)
+    # A generator of one row: conditions above it are evaluated on its results. Spark would push them below a plain projection and
+    # put the whole of a rule in place of each mention of its column.
+    return complete.select(*keep, F.inline(F.array(F.struct(*columns))))
