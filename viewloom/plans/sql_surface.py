@@ -438,9 +438,12 @@ def _any_aggregate_sql(points: str, every: str, aggregate: str, width: str, star
     return "\n  UNION ALL ".join(parts)
 
 
-def series_function_ddl(source: str, ts_type: str, optional: set[str], temporary: bool = True) -> dict[str, str]:
-    """The four series functions over a datapoint table whose ``ts`` has the given SQL type."""
+def series_function_ddl(
+    source: str, ts_type: str, optional: set[str], temporary: bool = True, database: str | None = None
+) -> dict[str, str]:
+    """The four series functions over a datapoint table whose ``ts`` has the given SQL type; permanent ones in ``database``."""
     create = f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}FUNCTION"
+    within = f"{_qualified(database)}." if database else ""
     code = "p.status_code" if "status_code" in optional else "CAST(NULL AS INT)"
     symbol = "p.status_symbol" if "status_symbol" in optional else "CAST(NULL AS STRING)"
     placed = "p.space, p.external_id, p.value, unix_micros(CAST(p.ts AS TIMESTAMP)) AS at"
@@ -515,7 +518,7 @@ def series_function_ddl(source: str, ts_type: str, optional: set[str], temporary
     known_hint = ", ".join(_text(n) for n in SQL_AGGREGATES)
     before = _time_sql(f"coalesce({arg(latest, 'before')}, 'now')")
     return {
-        one: f"""{create} {one}(instance_id STRING, {ranged})
+        one: f"""{create} {within}{one}(instance_id STRING, {ranged})
 RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE) RETURN
   SELECT timestamp, value FROM (
     SELECT space, external_id, CAST(ts AS TIMESTAMP) AS timestamp, value FROM ({every_series(one, 'p.*')})
@@ -524,7 +527,7 @@ RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE) RETURN
     SELECT space, external_id, timestamp, value FROM ({aggregated(one, every_series(one, placed), every_series(one, placed, False))})
       WHERE {arg(one, 'aggregates')} IS NOT NULL)
   WHERE {named_series(one)} AND {pair(one)}""",
-        many: f"""{create} {many}(instance_ids STRING, {ranged})
+        many: f"""{create} {within}{many}(instance_ids STRING, {ranged})
 RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE, status_code INT, status_symbol STRING, external_id STRING, space STRING)
 RETURN
   SELECT CAST(ts AS TIMESTAMP) AS timestamp, value, code, symbol, external_id, space
@@ -534,13 +537,13 @@ RETURN
   SELECT timestamp, value, CAST(NULL AS INT), CAST(NULL AS STRING), external_id, space
     FROM ({aggregated(many, many_series(many, placed, in_range(many, 'start', 'end')), many_series(many, placed, 'p.value IS NOT NULL'))})
     WHERE {arg(many, 'aggregates')} IS NOT NULL AND {pair(many)}""",
-        rolled: f"""{create} {rolled}(instance_ids STRING, start_hint STRING, end_hint STRING,
+        rolled: f"""{create} {within}{rolled}(instance_ids STRING, start_hint STRING, end_hint STRING,
   aggregate_hint STRING, granularity_hint STRING)
 RETURNS TABLE(timestamp TIMESTAMP, value DOUBLE, external_id STRING, space STRING) RETURN
   SELECT * FROM ({_rolled_sql(hinted, hint_name, hint_width, list(SQL_AGGREGATES))})
     WHERE IF({' IS NULL OR '.join(hints)} IS NULL, CAST(raise_error('every hint is required') AS BOOLEAN),
       IF(lower(trim({hint_name})) IN ({known_hint}), true, {unknown_hint}))""",
-        latest: f"""{create} {latest}(instance_ids STRING, before STRING DEFAULT 'now',
+        latest: f"""{create} {within}{latest}(instance_ids STRING, before STRING DEFAULT 'now',
   include_status BOOLEAN DEFAULT false)
 RETURNS TABLE(time_series_external_id STRING, timestamp TIMESTAMP, value DOUBLE, status_code INT) RETURN
   SELECT concat(space, ':', external_id), CAST(ts AS TIMESTAMP), value, IF({arg(latest, 'include_status')}, code, NULL)
@@ -549,8 +552,27 @@ RETURNS TABLE(time_series_external_id STRING, timestamp TIMESTAMP, value DOUBLE,
     }
 
 
-def create_series_functions(spark: SparkSession, source: str) -> None:
+def create_series_functions(spark: SparkSession, source: str, database: str | None = None) -> list[str]:
+    """The series functions over a registered table: for the session, or permanent ones in a database of the catalog."""
     schema = spark.table(source).schema
     ts_type = "TIMESTAMP_NTZ" if isinstance(schema["ts"].dataType, T.TimestampNTZType) else "TIMESTAMP"
-    for statement in series_function_ddl(source, ts_type, set(schema.fieldNames())).values():
+    statements = series_function_ddl(source, ts_type, set(schema.fieldNames()), database is None, database)
+    for statement in statements.values():
         spark.sql(statement)
+    return list(statements)
+
+
+def create_catalog_functions(spark: SparkSession, database: str, model: dict[str, ViewDef], points: str | None = None) -> list[str]:
+    """Permanent SQL views and table functions in a database of the catalog, for every session that shares it: for each view of
+    the model, given as catalog table -> view, and the series functions over the datapoint table ``points``. Returns their names.
+
+    Spark's grammar has no database before a table function's name: callers ``USE`` the database. Views take their full name.
+    """
+    made = []
+    for source, view in model.items():
+        for name, ddl in ((view.external_id, view_ddl), (function_name_for(view.external_id), view_function_ddl)):
+            spark.sql(ddl(view, source, f"{database}.{name}", temporary=False))
+            made.append(f"{database}.{name}")
+    if points:
+        made += [f"{database}.{name}" for name in create_series_functions(spark, points, database)]
+    return made
