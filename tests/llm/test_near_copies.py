@@ -80,6 +80,16 @@ def test_members_are_dealt_in_proportion(spark, turn):
     assert len(found) == near_copies.FORESTS * turn and len({r["count"] for r in found}) == 1
 
 
+def test_buckets_of_the_same_members_are_compared_once(spark):
+    rows = [(key, tag, 10) for key in (1, 2, 3) for tag in (5, 6, 7)] + [(4, 5, 10), (4, 6, 10), (5, 6, 10), (5, 8, 10), (5, 9, 10), (6, 5, 10), (6, 7, 10)]
+    buckets = spark.createDataFrame(rows, "key bigint, tag bigint, n bigint")
+    roots = spark.createDataFrame([(5, 5), (7, 5)], "node bigint, root bigint")
+    keys = lambda met: sorted(r["key"] for r in near_copies.mixed(buckets, roots, met)["few"].select("key").distinct().collect())
+    assert keys(False) == [1, 4, 5] and keys(True) == [1, 5]  # 6 holds one group only
+    pairs = near_copies.of_few(near_copies.mixed(buckets, roots, True)["few"]).select("x.tag", "y.tag").collect()
+    assert {tuple(sorted(p)) for p in pairs} == {(5, 6), (6, 7), (6, 8), (6, 9), (8, 9)}
+
+
 def test_shingles_tell_order_and_length():
     known = near_copies.WordHashes()
     same = lambda a, b: set(near_copies.shingles(a, known).tolist()) == set(near_copies.shingles(b, known).tolist())

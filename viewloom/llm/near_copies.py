@@ -7,7 +7,8 @@ at least 0.8; groups are what confirmed links connect.
 
 Members of a band's bucket meet one of them first, so a group of thousands of near copies is joined up by thousands of
 comparisons and not millions. In a bucket that still holds members apart, those outside its largest group are strays. If
-it has few of them (STRAYS) or is small (SMALL), every member is compared with every stray. The members of other buckets, which many texts of
+it has few of them (STRAYS) or is small (SMALL), every member is compared with every stray, once for all buckets of the
+same members. The members of other buckets, which many texts of
 one template may share, are dealt anew by more MinHash rows, FORESTS times with different ones, and again more often with
 still more rows as long as that leaves such buckets: each turn's rows are in proportion to the members, whatever the
 size of a bucket, and none is cut off.
@@ -164,13 +165,22 @@ def of_few(buckets: DataFrame) -> DataFrame:
     return met.where("root_x <> root_y AND (x.tag < y.tag OR NOT stray_y)").select("x", "y")
 
 
-def mixed(buckets: DataFrame, roots: DataFrame) -> dict[str, DataFrame]:
-    """The buckets that hold members of different roots, with `root` and `stray`: those with few strays and those with many."""
+def mixed(buckets: DataFrame, roots: DataFrame, met: bool) -> dict[str, DataFrame]:
+    """The buckets that hold members of different roots, with `root` and `stray`: those with few strays and those with many.
+
+    Of the former, buckets with the same members (told by a hash of 128 bits) stand there once, as their pairs are the same.
+    Where members have `met` their bucket's first, a bucket of two has nothing left to compare.
+    """
     named = buckets.join(roots.withColumnRenamed("node", "tag"), "tag", "left").withColumn("root", F.coalesce("root", "tag"))
-    groups = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    sizes = groups.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("home"))
+    marks = [F.xxhash64(F.lit(seed), "tag") for seed in (1, 2)]
+    groups = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(mark).alias(f"m{i}") for i, mark in enumerate(marks)])
+    of_key = F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("home"), F.struct(F.bit_xor("m0"), F.bit_xor("m1")).alias("members")
+    sizes = groups.groupBy("key").agg(*of_key)
     strays = F.col("size") - F.col("home.n")
-    sizes = sizes.where(strays > 0).select("key", F.col("home.root").alias("home"), ((strays <= STRAYS) | (F.col("size") <= SMALL)).alias("few"))
+    sizes = sizes.where(strays > 0).withColumn("few", (strays <= STRAYS) | (F.col("size") <= SMALL))
+    once = sizes.where(F.col("few") & (F.col("size") > (2 if met else 1))).groupBy("size", "members").agg(F.min(F.struct("key", "home")).alias("of"))
+    chosen = once.select("of.key", "of.home.root", F.lit(True).alias("few"))
+    sizes = chosen.unionByName(sizes.where(~F.col("few")).select("key", "home.root", "few")).withColumnRenamed("root", "home")
     held = named.join(sizes, "key").withColumn("stray", F.col("root") != F.col("home")).drop("home")
     return {"few": held.where("few").drop("few"), "many": held.where("NOT few").drop("few")}
 
@@ -220,13 +230,13 @@ def near_copies(docs: DataFrame) -> DataFrame:
     roots = components(edges, f"{folder}/parts0")
 
     # What buckets still hold apart: pair by pair where strays are few, else the members dealt anew.
-    few, many = (stored(part, f"{folder}/{name}0") for name, part in mixed(buckets, roots).items())
+    few, many = (stored(part, f"{folder}/{name}0") for name, part in mixed(buckets, roots, True).items())
     members, pending = many.select("key", "band", "tag", "n"), [of_few(few)]
     for turn in range(1, (MINIMA - ROWS) // DEEPER + 1):
         dealt = not members.isEmpty()
         if dealt:
             finer = stored(dealt_anew(members.join(texts.select("tag", "rows"), "tag"), turn), f"{folder}/finer{turn}")
-            parts = mixed(finer, roots)
+            parts = mixed(finer, roots, False)
             pending += [starred(parts["many"], turn), of_few(parts["few"])]
         if not pending:
             break
@@ -238,7 +248,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         if not dealt:
             break
         compared, pending = compared.unionByName(fresh), []
-        members = stored(mixed(finer, roots)["many"].select(F.col("base").alias("key"), "band", "tag", "n").distinct(), f"{folder}/members{turn}")
+        members = stored(mixed(finer, roots, True)["many"].select(F.col("base").alias("key"), "band", "tag", "n").distinct(), f"{folder}/members{turn}")
     return rows.select("doc_id", "tag").join(roots.withColumnRenamed("node", "tag"), "tag", "left").select("doc_id", "tag", F.coalesce("root", "tag").alias("root"))
 
 
