@@ -79,6 +79,23 @@ def test_winnowing_by_shuffled_join(spark, monkeypatch):
     assert bag(got.select("doc_id", "n_words", "n_hit").collect()) == bag(want)
 
 
+def test_winnowing_of_items_with_one_prompt(spark):
+    """Items that share their first eleven words differ only in the windows across the prompt's end; rows don't multiply."""
+    r = random.Random(6)
+    word = lambda: f"w{r.randrange(10_000)}"
+    prompt = [word() for _ in range(11)]
+    docs = [(i, " ".join([word() for _ in range(5)] + prompt + [word() for _ in range(20)])) for i in range(150)] + [(150, " ".join(prompt[:10]))]
+    items = [(i, " ".join(prompt + [word() for _ in range(8)])) for i in range(150)]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    got = winnowing.contamination(frame(spark, docs), table).select("doc_id", "n_words", "n_hit", F.size("items").cast("long"), F.sha2(F.array_join("items", ","), 256), "contaminated")
+    assert bag(got.collect()) == bag(brute.contamination(docs, items))
+    windows = winnowing.item_windows(table)
+    known = windows.groupBy("fingerprint", F.size("words").alias("size")).agg(F.collect_set("at").alias("ats"))
+    rows = winnowing.fingerprint_rows(frame(spark, docs), [])
+    met = rows.join(known, "fingerprint", "left_semi").count()
+    assert 150 <= met and winnowing.windows_around(rows, known).count() <= len(docs) + 6 * met
+
+
 def test_winnowing_without_items_or_documents(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     got = winnowing.contamination(frame(spark, [(1, "a b"), (2, None)]), none)

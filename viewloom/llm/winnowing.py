@@ -3,7 +3,8 @@
 Every text becomes word hashes, and those k-gram hashes. In each window of `SPAN - K + 1` neighbouring k-grams the least
 hash is kept (the last of equal ones). A span of SPAN words holds exactly one such window, so a span that a document and a
 benchmark item share yields the same fingerprint at the same place in both: joining fingerprints finds every shared span.
-Each hit is then extended to the SPAN words around it and compared word by word.
+Each hit is then extended to the windows of SPAN words around it, six at most, which are looked up by the hash of their
+words and compared by the hashes of the single words: a fingerprint that many items share doesn't multiply the rows.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def least_of_windows(packed: str, width: int) -> Column:
     """The least packed hash of every window of `width` neighbours."""
     p = F.col(packed)
     return F.transform(
-        F.slice(p, 1, F.greatest(F.size(p) - width + 1, F.lit(0))), lambda _, i: F.array_min(F.slice(p, i + 1, F.lit(width)))
+        F.slice(p, 1, F.greatest(F.size(p) - width + 1, F.lit(0))), lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, width)])
     )
 
 
@@ -84,8 +85,8 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 
 def fingerprint_rows(docs: DataFrame, short_lengths: list[int]) -> DataFrame:
-    """Per document one row without a fingerprint that carries its word count, and one per fingerprint with the words
-    around it: (doc_id, tag, n_words, length, fingerprint, place, around, first); `length` 0 stands for SPAN and more.
+    """Per document one row of `length` -1 that carries its word count, and one per fingerprint with the words
+    around it: (doc_id, tag, n_words, length, fingerprint, place, around, first); `length` SPAN stands for SPAN and more.
 
     For each length below SPAN that benchmark items have, every run of so many words is a fingerprint.
     """
@@ -99,7 +100,7 @@ def fingerprint_rows(docs: DataFrame, short_lengths: list[int]) -> DataFrame:
     head = F.array(F.struct(F.lit(-1).alias("length"), F.lit(None).cast("int").alias("place"), F.lit(None).cast("long").alias("fingerprint")))
     spans = F.transform(
         "least",
-        lambda x: F.struct(F.lit(0).alias("length"), place_of(x).alias("place"), F.get("g", place_of(x)).alias("fingerprint")),
+        lambda x: F.struct(F.lit(SPAN).alias("length"), place_of(x).alias("place"), F.get("g", place_of(x)).alias("fingerprint")),
     )
 
     def runs(n: int) -> Column:
@@ -109,14 +110,37 @@ def fingerprint_rows(docs: DataFrame, short_lengths: list[int]) -> DataFrame:
     short = [runs(n) for n in short_lengths]
     rows = base.select("doc_id", "tag", "w", F.size("w").alias("n_words"), F.explode(F.concat(head, spans, *short)).alias("f"))
     first = F.greatest(F.col("f.place") - reach, F.lit(0))
-    width = F.when(F.col("f.length") == 0, F.lit(2 * SPAN - K)).otherwise(F.lit(reach + SPAN))
+    width = F.when(F.col("f.length") == SPAN, F.lit(2 * SPAN - K)).otherwise(F.lit(reach + SPAN))
     return rows.select(
-        "doc_id", "tag", "n_words", F.col("f.length").alias("length"), F.col("f.fingerprint").alias("fingerprint"),
+        "doc_id", "tag", "n_words", F.col("f.length").alias("length"), F.coalesce("f.fingerprint", F.xxhash64("doc_id", "tag")).alias("fingerprint"),
         F.col("f.place").alias("place"), first.alias("first"),
         F.when(F.col("f.place").isNotNull(), F.slice("w", first + 1, width)).alias("around"),
     )
 
 
+def windows_around(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, tag, n_words, length, w) of fingerprint_rows: the windows that hold a fingerprint of `known` (fingerprint, size,
+    ats: its places in windows), with w = (at, start, words, window: the words' hash). At most SPAN - K + 1 for a fingerprint.
+
+    A head stays as one window of nothing, whose hash is its own: heads meet no item and don't meet each other.
+    """
+    met = (F.col("d.fingerprint") == F.col("k.fingerprint")) & (F.col("d.length") == F.col("k.size"))
+    marked = rows.alias("d").join(known.alias("k"), met, "left")
+    is_head = F.col("d.length") == -1
+
+    def window(at: Column) -> Column:
+        start = F.col("d.place") - at
+        words = F.when(start >= 0, F.slice("d.around", F.greatest(start - F.col("d.first") + 1, F.lit(1)), F.greatest("d.length", F.lit(0))))
+        return F.struct(at.alias("at"), start.alias("start"), words.alias("words"), F.xxhash64(words).alias("window"))
+
+    nothing = F.struct(
+        F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("array<bigint>").alias("words"),
+        F.col("d.fingerprint").alias("window"),
+    )
+    ones = F.when(is_head, F.array(nothing)).otherwise(F.transform("k.ats", window))
+    return marked.where(is_head | F.col("k.ats").isNotNull()).select("d.doc_id", "d.tag", "d.n_words", "d.length", F.explode(ones).alias("w"))
+
+
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, tag, n_words, n_hit, the sorted item ids (`items`, as strings) and `contaminated`.
 
@@ -130,16 +154,17 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     lengths = sorted(n for (n,) in windows.select(F.size("words")).distinct().where(F.size("words") < SPAN).collect())
     distinct = windows.groupBy("fingerprint", "at", "words").agg(F.xxhash64("words").alias("window"))
     distinct = stored(distinct.withColumn("size", F.size("words")), f"{folder}/distinct")
+    known = distinct.groupBy("fingerprint", "size").agg(F.collect_set("at").alias("ats"))  # a window has SPAN - K + 1 places
     if distinct.count() <= BROADCAST_ROWS:
-        distinct = F.broadcast(distinct)
-    rows = fingerprint_rows(docs, lengths).alias("d")
-    same_kind = F.when(F.col("d.length") == 0, F.col("b.size") == SPAN).otherwise(F.col("b.size") == F.col("d.length"))
-    start = F.col("d.place") - F.col("b.at")
-    found = rows.join(distinct.alias("b"), (F.col("d.fingerprint") == F.col("b.fingerprint")) & same_kind, "left")
-    equal = (start >= 0) & (F.slice("d.around", F.greatest(start - F.col("d.first") + 1, F.lit(1)), F.col("b.size")) == F.col("b.words"))
+        distinct, known = F.broadcast(distinct), F.broadcast(known)
+    around = windows_around(fingerprint_rows(docs, lengths), known)
+    is_head = F.col("d.length") == -1
+    same = [F.col("d.length") == F.col("b.size"), F.col("d.w.window") == F.col("b.window"), F.col("d.w.at") == F.col("b.at"), F.col("d.w.words") == F.col("b.words")]
+    found = around.alias("d").join(distinct.alias("b"), same, "left")
+    equal = F.col("b.window").isNotNull()
     hits = stored(
-        found.where((F.col("d.length") == -1) | equal).select(
-            "d.doc_id", "d.tag", "d.n_words", F.when(equal, F.struct(start.alias("start"), (start + F.col("b.size")).alias("end"))).alias("span"),
+        found.where(is_head | equal).select(
+            "d.doc_id", "d.tag", "d.n_words", F.when(equal, F.struct(F.col("d.w.start").alias("start"), (F.col("d.w.start") + F.col("b.size")).alias("end"))).alias("span"),
             F.when(equal, F.struct("b.size", "b.window")).alias("window"),
         ),
         f"{folder}/hits",
