@@ -4,7 +4,8 @@ A source with target share s of n documents out of N has the mean repetition rat
 of copies from a Poisson distribution of that mean, by inverting the distribution at a uniform number that a hash of the
 seed and the document's id gives: the same document gets the same number on every run and after every lost executor, and
 needs no other document to know it. Documents are exploded by their counts and dealt out and sorted by a hash of id and
-copy, which is a shuffle of the whole corpus.
+copy and of the row's place in the input, which is a shuffle of the whole corpus. The place keeps rows of one id, however
+many, from meeting in one task; it is the same after a lost executor, as the rows of a file split come in one order.
 """
 
 from __future__ import annotations
@@ -44,24 +45,27 @@ def distribution(mean: Column) -> Column:
     )
 
 
-def source_rates(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """(source, n, rate) by source; a null source is a source of its own, and one that `weights` lacks has rate 0."""
+def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
+    """(source, n, rate) by source; a null source is a source of its own (None in `weights`), and one that `weights` lacks has rate 0."""
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
         weighed = counts.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(POWER)))
     else:
-        given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map().cast("map<string,double>")
-        weighed = counts.withColumn("w", F.coalesce(given[F.coalesce("source", F.lit(""))].cast("double"), F.lit(0.0)))
+        named = [F.lit(x) for source, weight in weights.items() if source is not None for x in (source, float(weight))]
+        given = (F.create_map(*named) if named else F.create_map()).cast("map<string,double>")
+        of_null = F.when(F.col("source").isNull(), F.lit(float(weights.get(None, 0.0))))
+        weighed = counts.withColumn("w", F.coalesce(of_null, given[F.col("source")], F.lit(0.0)))
     all_w, all_n = weighed.agg(F.sum("w"), F.sum("n")).first()
     rate = F.col("w") / F.lit(all_w) * F.lit(all_n) / F.col("n") if all_w else F.lit(0.0)
     return weighed.select("source", "n", rate.alias("rate"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = SEED) -> DataFrame:
     """`docs` with each row repeated as often as drawn, in random order, and `copy` (from 1).
 
     `weights` by source are shared out among the sources that are there; without them, shares follow document counts to the power POWER. Rows that
-    share a doc_id draw the same number; a row without one draws by its text. Null and empty texts are rows like others.
+    share a doc_id draw the same number but are dealt out singly; a row without one draws by its text. `docs` should come from files or
+    a stored table, whose rows a task reads in the same order each time. Null and empty texts are rows like others.
     An empty table gives an empty result. A column named `copy` is replaced; names beginning with `__` are reserved.
     """
     spark = docs.sparkSession
@@ -76,9 +80,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SE
         F.aggregate(F.sequence(F.lit(1), "__parts"), F.lit(0), lambda a, j: a + below(uniform(F.lit(seed), F.col("__ident"), j - 1)))
     )
     keyed = docs.withColumn("__ident", ident).withColumn("__u", uniform(F.lit(seed), F.col("__ident"), F.lit(0)))
+    keyed = keyed.withColumn("__place", F.monotonically_increasing_id())
     counted = keyed.join(rates, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__n", drawn).where("__n > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), "__n")))
-    order = F.xxhash64(F.lit(seed), F.lit("order"), "__ident", "copy")
+    order = F.xxhash64(F.lit(seed), F.lit("order"), "__ident", "copy", "__place")
     dealt = copies.withColumn("__order", order).repartition("__order").sortWithinPartitions("__order")
     return dealt.select(*[c for c in docs.columns if c != "copy"], "copy")
 
