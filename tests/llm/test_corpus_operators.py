@@ -67,6 +67,23 @@ def test_mixing_odd_rows(spark):
     assert poisson_mix.mix(empty).count() == 0
 
 
+def test_rows_of_one_id_are_dealt_to_all_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(7, "same", "s", None, None)] * 4_000 + [(None, None, "s", None, None)] * 4_000
+    out = mixed(spark, rows, weights={"s": 1.0}).withColumn("part", F.spark_partition_id())
+    for ident in (F.col("doc_id") == 7, F.col("doc_id").isNull()):
+        held = [r["count"] for r in out.where(ident).groupBy("part").count().collect()]
+        assert not held or (len(held) > 1 and max(held) < 2 * sum(held) / len(held))
+    assert out.count() >= 4_000 and out.count() % 4_000 == 0
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_weight_of_rows_without_source(spark):
+    rows = [(i, "t", None if i % 2 else "", None, None) for i in range(2_000)]
+    sources = lambda weights: {r["source"] for r in mixed(spark, rows, weights=weights).select("source").distinct().collect()}
+    assert sources({"": 1.0}) == {""} and sources({None: 1.0}) == {None} and sources({None: 1.0, "": 1.0}) == {None, ""}
+
+
 # URL rules
 
 URLS = [

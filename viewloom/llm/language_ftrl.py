@@ -194,7 +194,9 @@ def shared_out(ids: DataFrame, sample: int) -> DataFrame:
     # A hash that twice the share's number and some more pass leaves few rows to rank, also of a very large language.
     part = F.least(F.lit(1.0), (2.0 * share + 50) / F.col("size"))
     rank = F.xxhash64("doc_id")
-    near = ids.join(of_lang, "lang").where(rank.cast("double") <= part * 2.0**64 - 2.0**63)
+    # Sizes are broadcast, so that no language's ids meet before the hash has thinned them: some 50 bytes for each language, of
+    # which the driver will hold a row of weights.
+    near = ids.join(F.broadcast(of_lang), "lang").where(rank.cast("double") <= part * 2.0**64 - 2.0**63)
     number = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))
     return near.withColumn("__number", number).where(F.col("__number") <= share).drop("__number", "size")
 
