@@ -123,3 +123,27 @@ def test_payloads(spark):
     assert [r.value for r in step.collect()] == [8.0]
     with pytest.raises(ValueError):
         unnest_payloads(df, aggregate="median")
+
+
+MIXED = ViewDef(
+    "m", "Mixed", "v1",
+    (Property("t"), Property("l", "int64"), Property("d", "float64"), Property("b", "boolean"), Property("at", "timestamp"),
+     Property("day", "date"), Property("r", "direct_relation")),
+)
+# One value each: what a text can't tell apart is read from the JSON type.
+DOUBTS = [
+    ("t", 1.5, "1.5"), ("t", "1.50", "1.50"), ("t", 7, "7"), ("t", "[1,  2]", "[1, 2]"), ("t", {"z": 1, "a": [1, "x,y"]}, '{"z": 1, "a": [1, "x,y"]}'),
+    ("t", {"externalId": "x"}, "x"), ("t", "{space=s, externalId=y}", "y"), ("t", True, "true"), ("t", "", ""),
+    ("l", 1.9, 1), ("l", "1.9", None), ("l", " 12 ", 12), ("l", True, 1), ("d", "1e3", 1000.0), ("d", 2, 2.0), ("d", "x", None),
+    ("b", 2, True), ("b", "2", False), ("b", 1, True), ("b", "YES", True), ("b", False, False),
+    ("at", 1704067200000, datetime(2024, 1, 1)), ("at", "1704067200000", None), ("at", "2024-01-01T02:00:00+02:00", datetime(2024, 1, 1)),
+    ("at", 0, datetime(1970, 1, 1)), ("day", "2024-01-02", datetime(2024, 1, 2).date()), ("day", 86400000, datetime(1970, 1, 2).date()),
+    ("r", {"space": "s", "externalId": "x"}, "x"), ("r", {"external_id": "x"}, "x"), ("r", '{"externalId":"x"}', '{"externalId":"x"}'),
+    ("r", "plain", "plain"), ("r", {"other": 1}, '{"other": 1}'),
+]
+
+
+def test_doubtful_texts(spark):
+    items = [item(externalId=str(i), properties={"m": {MIXED.view_key: {name: value}}}) for i, (name, value, _) in enumerate(DOUBTS)]
+    got = {int(r.external_id): r for r in resolved(spark, *items, view=MIXED).collect()}
+    assert {i: got[i][name] for i, (name, _, _) in enumerate(DOUBTS)} == {i: want for i, (_, _, want) in enumerate(DOUBTS)}

@@ -148,12 +148,12 @@ def _timestamp(read: Read) -> Column:
 def _date(read: Read) -> Column:
     """Epoch milliseconds in UTC, an ISO date, or an ISO timestamp cut to its date in its own offset."""
     days = F.floor(F.try_variant_get(read.value, "$", "bigint") / MILLIS_PER_DAY).cast("int")
-    day = F.substring(read.scalar, 1, 10).try_cast("date")
-    is_date = read.scalar.rlike(ISO_DATE)
-    is_time = (F.substring(read.scalar, 11, 1) == "T") & iso_timestamp(read.scalar).isNotNull()
-    return _text_or_value(
-        read, F.when(is_date | is_time, day), F.date_add(F.lit("1970-01-01").cast("date"), days)
-    )
+    return _text_or_value(read, _day_in(read.scalar), F.date_add(F.lit("1970-01-01").cast("date"), days))
+
+
+def _day_in(text: Column) -> Column:
+    is_time = (F.substring(text, 11, 1) == "T") & iso_timestamp(text).isNotNull()
+    return F.when(text.rlike(ISO_DATE) | is_time, F.substring(text, 1, 10).try_cast("date"))
 
 
 def _quoted(text: Column) -> Column:
@@ -268,17 +268,104 @@ def _extra_part(data_type: T.DataType) -> str | None:
     return None if isinstance(data_type, T.ArrayType) else "scalar"
 
 
+# Texts that may come from a JSON number whose text is another one, or from an object or list.
+UNCLEAR_TEXT = r"^(\s*[\[{]|-0$|-?\d+[.]\d+$|-?\d+([.]\d+)?[eE][+-]?\d+$|-?\d{30,}$)"
+INTEGER_TEXT = r"^[+-]?\d+$"
+MILLIS_TEXT = r"^-?\d{1,15}$"
+YES_NO = ("true", "false", "1", "0")
+
+
+def is_plain_type(data_type: T.DataType) -> bool:
+    """Whether values are read as their text, where that leaves no doubt."""
+    return type(data_type) in SCALAR_RULES
+
+
+def _id_in_json(text: Column) -> Column:
+    return F.coalesce(F.get_json_object(text, "$.externalId"), F.get_json_object(text, "$.external_id"))
+
+
+def unclear_texts(texts: Column, data_type: T.DataType, record: Column, relation: bool = False) -> Column:
+    """Whether any of the texts could be coerced in two ways, depending on the JSON type that it has in ``record``.
+
+    A text that stands nowhere in the record behind a quote is no JSON text; escapes that could hide one count as doubt.
+    """
+
+    def quoted(text: Column) -> Column:
+        return record.contains(F.concat(F.lit('"'), text)) | record.contains("\\u00")
+
+    def unclear(text: Column) -> Column:
+        if relation:
+            return text.rlike(UNCLEAR_TEXT) & (~text.startswith("{") | quoted(F.lit("{")) | _id_in_json(text).isNull())
+        if isinstance(data_type, T.StringType):
+            return text.rlike(UNCLEAR_TEXT)
+        if isinstance(data_type, T.LongType):
+            return ~F.trim(text).rlike(INTEGER_TEXT)
+        if isinstance(data_type, T.DoubleType):
+            return ~F.trim(text).rlike(NUMBER_TEXT)
+        if isinstance(data_type, T.BooleanType):
+            return ~F.lower(F.trim(text)).isin(*YES_NO)
+        return F.when(text.rlike(MILLIS_TEXT), quoted(text)).otherwise(~text.rlike(r"^\d{4}-"))
+
+    return F.exists(texts, lambda text: F.coalesce(unclear(text), F.lit(False)))
+
+
+def from_plain_text(text: Column, data_type: T.DataType, relation: bool = False) -> Column:
+    """A scalar from its text, where :func:`unclear_texts` is false."""
+    if isinstance(data_type, T.StringType):
+        return F.when(text.startswith("{"), _id_in_json(text)).otherwise(text) if relation else text
+    if isinstance(data_type, T.BooleanType):
+        return F.lower(F.trim(text)).isin(*TRUE_TEXTS)
+    if isinstance(data_type, (T.LongType, T.DoubleType)):
+        return F.trim(text).try_cast(data_type)
+    number, scalar = text.rlike(MILLIS_TEXT), F.trim(text)
+    if isinstance(data_type, T.TimestampType):
+        return F.when(number, F.timestamp_millis(text.try_cast("bigint"))).otherwise(iso_timestamp(scalar))
+    days = F.floor(text.try_cast("bigint") / MILLIS_PER_DAY).cast("int")
+    return F.when(number, F.date_add(F.lit("1970-01-01").cast("date"), days)).otherwise(_day_in(scalar))
+
+
+def _spaced(json_text: Column) -> Column:
+    """Compact JSON text with a blank behind each comma and colon that is not inside a string."""
+    string = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    return F.regexp_replace(json_text, rf'\G((?:{string}|[^",:]++)*+)([,:])', "$1$2 ")
+
+
+def coerce_list(values: Column, data_type: T.DataType) -> Column:
+    """Scalars of one type, from a list of (VARIANT value, raw text). Objects and lists in text columns keep the order of
+    their keys, which a VARIANT doesn't, if the raw text is theirs."""
+    rule = SCALAR_RULES[type(data_type)]
+
+    def parts(entry: Column) -> Column:
+        return F.struct(_as_struct(entry["value"]).alias("read"), entry["raw"].alias("raw"))
+
+    def one(entry: Column) -> Column:
+        read = _with_scalar(_from_struct(entry["read"]))
+        result = rule(read)
+        if isinstance(data_type, T.StringType):
+            held = (read.is_object & _id_in_object(read.value).isNull()) | (read.is_list & ~_may_hold_relations(read.text))
+            same = F.to_json(F.try_parse_json(entry["raw"])) == F.to_json(read.value)
+            result = F.when(held & same, _spaced(entry["raw"])).otherwise(result)
+        return F.when(~read.is_null, result)
+
+    return F.transform(F.transform(values, parts), one)
+
+
 def coerce(value: Column, data_type: T.DataType) -> Column:
     """A VARIANT value as ``data_type``, which is one of the types a view property can have."""
     return _coerce(_with_ids(_with_scalar(_read(value))), data_type)
 
 
 def coerce_columns(
-    rows: DataFrame, wanted: Mapping[str, tuple[Column, T.DataType]], keep: tuple[str, ...] = ()
+    rows: DataFrame, wanted: Mapping[str, tuple[Column, T.DataType]], keep: tuple[str, ...] = (), plain: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """``keep`` and the wanted values, coerced. Values, then their types and texts, are computed once each."""
+    """``keep``, the wanted values, coerced, and ``plain`` columns of another making. Values, then their types and texts, are
+    computed once each."""
     labels = {name: f"_{i}" for i, name in enumerate(wanted)}
-    values = rows.select(*keep, *[value.alias(labels[name]) for name, (value, _) in wanted.items()])
+    asked, plain = keep, plain or {}
+    held = {name: f"_plain_{i}" for i, name in enumerate(plain)}
+    kept = [F.col(c) for c in keep] + [column.alias(held[name]) for name, column in plain.items()]
+    keep = (*keep, *held.values())
+    values = rows.select(*kept, *[value.alias(labels[name]) for name, (value, _) in wanted.items()])
     reads = values.select(
         *keep,
         *[
@@ -308,4 +395,5 @@ def coerce_columns(
         columns.append(_coerce(read, data_type).alias(name))
     # A generator of one row: conditions above it are evaluated on its results. Spark would push them below a plain projection and
     # put the whole of a rule in place of each mention of its column.
-    return complete.select(*keep, F.inline(F.array(F.struct(*columns))))
+    columns += [F.col(label).alias(name) for name, label in held.items()]
+    return complete.select(*asked, F.inline(F.array(F.struct(*columns))))

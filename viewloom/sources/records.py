@@ -3,6 +3,9 @@
 A page is ``{"items": [...]}``. An item carries its view properties nested as
 ``properties[view space][view/version]``, in ``sources`` (a list, or a map keyed by ``view/version``), or at its top
 level. Only the parts that the view needs are parsed.
+
+An item is read with a schema made from the view: scalars and single relations as their text, lists as VARIANT. The few rows that this schema doesn't fit, or whose texts could stand for two things (is
+``1.5`` a number or a text?), are read again wholly as VARIANT, in the same pass and without a shuffle.
 """
 
 from __future__ import annotations
@@ -11,10 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.functions.coercion import coerce_columns
-from viewloom.model import LIFECYCLE_COLUMNS, ViewDef
+from viewloom.functions.coercion import coerce_columns, coerce_list, from_plain_text, is_plain_type, unclear_texts
+from viewloom.model import LIFECYCLE_COLUMNS, RELATION_TYPES, Property, ViewDef
 
 ENVELOPE = ("space", "externalId", "external_id", "instanceType", "properties", "sources")
+SOURCES_MAP = r'"sources"\s*:\s*\{'
+#: Holds an item's whole text if the item doesn't fit its read schema.
+MISFIT = "__misfit"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -22,43 +28,72 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "page")
 
 
-def item_schema(view: ViewDef) -> T.StructType:
-    """The read schema of one item: envelope fields and, for the top-level fallback, the view's own keys."""
-    fields = [
-        T.StructField("space", T.StringType()),
-        T.StructField("externalId", T.StringType()),
-        T.StructField("external_id", T.StringType()),
-        T.StructField("instanceType", T.StringType()),
-        # Maps keep the record's own order of spaces, which decides the fallback in resolved_variant.
-        T.StructField("properties", T.MapType(T.StringType(), T.MapType(T.StringType(), T.VariantType()))),
-        T.StructField("sources", T.VariantType()),
-    ]
-    fields += [T.StructField(c, T.VariantType()) for c in LIFECYCLE_COLUMNS]
-    taken = {f.name for f in fields}
-    fields += [
-        T.StructField(p.source_key, T.VariantType()) for p in view.properties if p.source_key not in taken
-    ]
-    return T.StructType(fields)
-
-
-def _of_view_kind(items: Column, view: ViewDef) -> Column:
-    """Only nodes or only edges. This happens inside the array, so that no filter above parses the JSON again."""
-    return F.filter(
-        items, lambda i: i.isNotNull() & (F.coalesce(i["instanceType"], F.lit("node")) == view.instance_type)
-    )
+def read_as_text(prop: Property) -> bool:
+    """Whether a property is read as its text; lists, also of relations, are read as VARIANT."""
+    return is_plain_type(prop.spark_type) and not (is_relation(prop) and (prop.is_list or prop.source_type.lower() != "direct_relation"))
+
+
+def is_relation(prop: Property) -> bool:
+    return prop.source_type.lower() in RELATION_TYPES
+
+
+def _top_level(view: ViewDef) -> list[Property]:
+    return [p for p in view.properties if p.source_key not in ENVELOPE and p.source_key not in LIFECYCLE_COLUMNS]
+
+
+def _leaf(prop: Property) -> T.StructField:
+    return T.StructField(prop.source_key, T.StringType() if read_as_text(prop) else T.VariantType())
+
+
+def _envelope(view: ViewDef, properties: T.DataType, sources: T.DataType, lifecycle: T.DataType, top: list[T.StructField]) -> T.StructType:
+    texts = [T.StructField(c, T.StringType()) for c in ("space", "externalId", "external_id", "instanceType")]
+    # Maps keep the record's own order of spaces, which decides the fallback.
+    nested = [T.StructField("properties", T.MapType(T.StringType(), properties)), T.StructField("sources", sources)]
+    return T.StructType([*texts, *nested, *[T.StructField(c, lifecycle) for c in LIFECYCLE_COLUMNS], *top])
+
+
+def item_schema(view: ViewDef, listed: bool) -> T.StructType:
+    """The read schema of one item, with ``sources`` as a list or else as a map. Other views' objects are passed over."""
+    leaves = T.StructType([_leaf(p) for p in view.properties] or [T.StructField(MISFIT, T.StringType())])
+    source = T.StructType([T.StructField(c, T.StringType()) for c in ("space", "externalId", "external_id", "version")])
+    entry = T.StructType([T.StructField("source", source), T.StructField("properties", leaves)])
+    of_view = T.StructType([T.StructField(view.view_key, leaves)])
+    schema = _envelope(view, of_view, T.ArrayType(entry) if listed else of_view, T.LongType(), [_leaf(p) for p in _top_level(view)])
+    return schema.add(MISFIT, T.StringType())
+
+
+def variant_schema(view: ViewDef) -> T.StructType:
+    """The read schema of an item that fits neither form of :func:`item_schema`."""
+    top = [T.StructField(p.source_key, T.VariantType()) for p in _top_level(view)]
+    return _envelope(view, T.VariantType(), T.VariantType(), T.VariantType(), top)
 
 
 def unnest_pages(pages: DataFrame, view: ViewDef, page: str = "page") -> DataFrame:
     """Rows of ``item``, one per element of ``items``; a page without ``items`` gives no row."""
-    schema = T.StructType([T.StructField("items", T.ArrayType(item_schema(view)))])
-    items = F.from_json(F.col(page), schema)["items"]
-    return pages.select(F.explode(_of_view_kind(items, view)).alias("item"))
+    texts = F.from_json(F.col(page), "items array<string>")["items"]
+    return parse_items(pages.select(F.explode(texts).alias("record")), view)
 
 
 def parse_items(records: DataFrame, view: ViewDef, record: str = "record") -> DataFrame:
-    """Rows of ``item`` from a table with one JSON record text per row."""
-    item = F.from_json(F.col(record), item_schema(view))
-    return records.select(F.explode(_of_view_kind(F.array(item), view)).alias("item"))
+    """Rows of ``item`` from a table with one JSON record text per row: only nodes or only edges, as the view wants."""
+    options = {"columnNameOfCorruptRecord": MISFIT}
+    # A guess at the form of ``sources``; a wrong one only costs time, as what doesn't fit is read again.
+    named = records.select(F.col(record).alias("record"))
+    named = named.select("*", F.when(~F.col("record").rlike(SOURCES_MAP), F.col("record")).alias("likely"))
+    first = named.select("record", "likely", F.from_json("likely", item_schema(view, True), options).alias("a"))
+    of_map = F.when(F.col("likely").isNull(), F.col("record")).otherwise(F.col("a")[MISFIT])
+    second = first.select("record", "likely", "a", F.from_json(of_map, item_schema(view, False), options).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    in_first = F.col("likely").isNotNull() & a[MISFIT].isNull()
+    shared = [c for c in ("space", "externalId", "external_id", "instanceType", "properties", *LIFECYCLE_COLUMNS)]
+    fields = [F.when(in_first, a[c]).otherwise(b[c]).alias(c) for c in shared]
+    fields += [F.when(in_first, a[p.source_key]).otherwise(b[p.source_key]).alias(f"top_{p.source_key}") for p in _top_level(view)]
+    fields += [F.when(in_first, a["sources"]).alias("listed"), F.when(~in_first, b["sources"]).alias("keyed")]
+    item = F.struct(F.col("record"), (~in_first & b[MISFIT].isNotNull()).alias("misfit"), *fields)
+    kind = F.coalesce(a["instanceType"], b["instanceType"], F.lit("node"))
+    of_kind = F.when((a.isNotNull() | b.isNotNull()) & (kind == view.instance_type), F.array(item))
+    # A generator: no filter above it makes Spark parse the JSON again.
+    return second.select(F.explode(of_kind).alias("item"))
 
 
 def _json_path(*keys: str) -> str:
@@ -72,66 +107,145 @@ def _present(value: Column) -> Column:
 
 def nested_object(properties: Column, view: ViewDef) -> Column:
     """The view's object under its own space or, if that gives nothing, under the first space that has the view."""
-    own = F.try_element_at(F.try_element_at(properties, F.lit(view.space)), F.lit(view.view_key))
+    path = _json_path(view.view_key)
+    own = F.try_variant_get(F.try_element_at(properties, F.lit(view.space)), path, "variant")
     holders = F.filter(
         F.map_values(properties),
-        lambda views: F.schema_of_variant(F.try_element_at(views, F.lit(view.view_key))).startswith("OBJECT"),
+        lambda views: F.schema_of_variant(F.try_variant_get(views, path, "variant")).startswith("OBJECT"),
     )
-    other = F.try_element_at(F.get(holders, 0), F.lit(view.view_key))
-    # Nearly always one of the first properties is there; the costlier look at the whole object is then skipped.
-    some = [F.try_variant_get(own, _json_path(p.source_key), "variant") for p in view.properties]
+    other = F.try_variant_get(F.get(holders, 0), path, "variant")
     whole = F.schema_of_variant(own)
-    return F.when(F.coalesce(*some, F.lit(None)).isNotNull(), own).when(whole.startswith("OBJECT") & (whole != "OBJECT<>"), own).otherwise(other)
+    return F.when(whole.startswith("OBJECT") & (whole != "OBJECT<>"), own).otherwise(other)
 
 
 def listed_objects(sources: Column, view: ViewDef) -> Column:
     """The property objects of all entries of a ``sources`` list that name this view."""
 
     def names_view(entry: Column) -> Column:
-        external_id = F.coalesce(
-            F.nullif(F.try_variant_get(entry, "$.source.externalId", "string"), F.lit("")),
-            F.try_variant_get(entry, "$.source.external_id", "string"),
-        )
-        key = F.concat(external_id, F.lit("/"), F.try_variant_get(entry, "$.source.version", "string"))
-        return (F.try_variant_get(entry, "$.source.space", "string") == view.space) & (key == view.view_key)
+        part = lambda name: F.try_variant_get(entry, f"$.source.{name}", "string")
+        return _names(view, part("space"), part("externalId"), part("external_id"), part("version"))
 
     matching = F.filter(F.try_variant_get(sources, "$", "array<variant>"), names_view)
     return F.transform(matching, lambda entry: F.try_variant_get(entry, "$.properties", "variant"))
 
 
+def _names(view: ViewDef, space: Column, external_id: Column, other_id: Column, version: Column) -> Column:
+    key = F.concat(F.coalesce(F.nullif(external_id, F.lit("")), other_id), F.lit("/"), version)
+    return (space == view.space) & (key == view.view_key)
+
+
 def _last_given(objects: Column, path: str) -> Column:
     values = F.transform(objects, lambda o: _present(F.try_variant_get(o, path, "variant")))
     return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
 
 
-def resolve(items: DataFrame, view: ViewDef) -> DataFrame:
-    """The view's columns of each item. Non-null values in ``sources`` win over nested ones, these over top level.
-
-    Lookup structures are built once per row in the inner select; each column then costs one field access.
-    """
+def _typed_values(items: DataFrame, view: ViewDef) -> DataFrame:
+    """``item`` with the view's values as read (``v_0`` and so on), and ``unclear`` where they must be read as VARIANT."""
     item = F.col("item")
-    top_level = [item[p.source_key].alias(f"top_{i}") for i, p in enumerate(view.properties)
-                 if p.source_key not in ENVELOPE and p.source_key not in LIFECYCLE_COLUMNS]
-    lifecycle = {c: (F.col(c), T.TimestampType()) for c in LIFECYCLE_COLUMNS}
-    found = items.select(
-        item["space"].alias("space"),
-        F.coalesce(F.nullif(item["externalId"], F.lit("")), item["external_id"]).alias("external_id"),
-        *[item[c].alias(c) for c in LIFECYCLE_COLUMNS],
+    of_view = F.filter(F.map_values(item["properties"]), lambda views: views[view.view_key].isNotNull())
+    entries = F.filter(
+        item["listed"],
+        lambda e: _names(view, e["source"]["space"], e["source"]["externalId"], e["source"]["external_id"], e["source"]["version"]),
+    )
+    parts = items.select(
+        "item",
+        F.try_element_at(item["properties"], F.lit(view.space))[view.view_key].alias("own"),
+        of_view.alias("holders"),
+        F.transform(entries, lambda e: e["properties"]).alias("entries"),
+        item["keyed"][view.view_key].alias("keyed"),
+    )
+    found = parts.select(
+        "item",
+        "keyed",
+        "own",
+        F.when(F.col("own").isNotNull(), F.col("own")).otherwise(F.get("holders", 0)[view.view_key]).alias("nested"),
+        (F.size("holders") > 1).alias("more_holders"),
+        F.get("entries", F.size("entries") - 1).alias("last"),
+        F.get("entries", F.size("entries") - 2).alias("before"),
+        (F.size("entries") > 2).alias("more_entries"),
+    )
+    top = set(_top_level(view))
+    values = []
+    for prop in view.properties:
+        present = (lambda c: c) if read_as_text(prop) else _present
+        candidates = [present(F.col(source)[prop.source_key]) for source in ("last", "before", "keyed", "nested")]
+        if prop in top:
+            candidates.append(present(item[f"top_{prop.source_key}"]))
+        values.append(F.coalesce(*candidates))
+    # An own object without any value may be an empty one, and then another space's counts.
+    some = [F.col("own")[p.source_key].isNotNull() for p in view.properties]
+    none_own = ~F.coalesce(F.greatest(*some) if len(some) > 1 else some[0], F.lit(False)) if some else F.lit(True)
+    unsure = F.coalesce("more_entries", F.lit(False)) | (F.col("own").isNotNull() & F.col("more_holders") & none_own)
+    rows = found.select("item", unsure.alias("unsure"), *[v.alias(f"v_{i}") for i, v in enumerate(values)])
+    texts = {}
+    for i, prop in enumerate(view.properties):
+        if read_as_text(prop):
+            texts.setdefault((prop.spark_type, is_relation(prop)), []).append(F.col(f"v_{i}"))
+    unclear = [item["misfit"], F.col("unsure")]
+    unclear += [unclear_texts(F.array(*held), kind, item["record"], relation) for (kind, relation), held in texts.items()]
+    return rows.select("*", F.exists(F.array(*unclear), lambda c: F.coalesce(c, F.lit(False))).alias("unclear")).drop("unsure")
+
+
+def _variant_values(rows: DataFrame, view: ViewDef) -> DataFrame:
+    """``rows`` with ``s_0`` and so on: the values of unclear rows as VARIANT, and with ``again``, their item."""
+    again = F.from_json(F.when(F.col("unclear"), F.col("item")["record"]), variant_schema(view))
+    read = rows.select("*", again.alias("again"))
+    item = F.col("again")
+    found = read.select(
+        "*",
         nested_object(item["properties"], view).alias("nested"),
         listed_objects(item["sources"], view).alias("listed"),
         F.try_variant_get(item["sources"], _json_path(view.view_key), "variant").alias("keyed"),
-        *top_level,
     )
-    values = {}
-    for i, prop in enumerate(view.properties):
+    top, values = set(_top_level(view)), []
+    for prop in view.properties:
         path = _json_path(prop.source_key)
         candidates = [
             F.when(F.col("listed").isNotNull(), _last_given(F.col("listed"), path)),
             _present(F.try_variant_get(F.col("keyed"), path, "variant")),
             _present(F.try_variant_get(F.col("nested"), path, "variant")),
         ]
-        if f"top_{i}" in found.columns:
-            candidates.append(F.col(f"top_{i}"))
-        values[prop.name] = (F.coalesce(*candidates), prop.spark_type)
-    resolved = coerce_columns(found, {**values, **lifecycle}, keep=("space", "external_id"))
-    return resolved.select(*values, "space", "external_id", *LIFECYCLE_COLUMNS)
+        if prop in top:
+            candidates.append(item[prop.source_key])
+        values.append(F.when(F.col("unclear"), F.coalesce(*candidates)))
+    return found.select(*rows.columns, "again", *[v.alias(f"s_{i}") for i, v in enumerate(values)])
+
+
+def resolve(items: DataFrame, view: ViewDef) -> DataFrame:
+    """The view's columns of each item. Non-null values in ``sources`` win over nested ones, these over top level.
+
+    Unclear texts are coerced type by type in one array each, so that a view of hundreds of properties has a small plan.
+    """
+    rows = _variant_values(_typed_values(items, view), view)
+    numbered = list(enumerate(view.properties))
+    of_type = {}
+    for i, prop in numbered:
+        if read_as_text(prop):
+            of_type.setdefault(prop.spark_type, []).append(i)
+    again, arrays, place = [], {}, {}
+    for kind, held in of_type.items():
+        arrays[kind] = f"again_{len(again)}"
+        values = F.array(*[F.struct(F.col(f"s_{i}").alias("value"), F.col(f"v_{i}").alias("raw")) for i in held])
+        again.append(F.when(F.col("unclear"), coerce_list(values, kind)).alias(arrays[kind]))
+        place.update({i: at for at, i in enumerate(held)})
+    times = F.array(*[F.struct(F.col("again")[c].alias("value"), F.lit(None).cast("string").alias("raw")) for c in LIFECYCLE_COLUMNS])
+    again.append(F.when(F.col("unclear"), coerce_list(times, T.TimestampType())).alias("again_times"))
+    rows = rows.select("*", *again)
+
+    item, unclear = F.col("item"), F.col("unclear")
+    plain = {
+        p.name: F.when(unclear, F.get(arrays[p.spark_type], F.lit(place[i]))).otherwise(from_plain_text(F.col(f"v_{i}"), p.spark_type, is_relation(p)))
+        for i, p in numbered if read_as_text(p)
+    }
+    plain["space"] = item["space"]
+    plain["external_id"] = F.coalesce(F.nullif(item["externalId"], F.lit("")), item["external_id"])
+    # Times of the envelope are texts only in records that don't fit.
+    plain |= {c: F.when(unclear, F.get("again_times", F.lit(i))).otherwise(F.timestamp_millis(item[c])) for i, c in enumerate(LIFECYCLE_COLUMNS)}
+    wanted = {
+        p.name: (F.when(unclear, F.col(f"s_{i}")).otherwise(F.col(f"v_{i}")), p.spark_type)
+        for i, p in numbered if not read_as_text(p)
+    }
+    if wanted:
+        return coerce_columns(rows, wanted, plain=plain).select(*view.columns)
+    # A generator, as in coerce_columns.
+    return rows.select(F.inline(F.array(F.struct(*[plain[c].alias(c) for c in view.columns]))))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from viewloom.functions.coercion import coerce_columns, relation_id
 from viewloom.functions.identity import instance_id_array, instance_id_struct
 from viewloom.functions.timing import resolve_time_column
+from viewloom.model import Property, ViewDef
 from viewloom.plans.sql_surface import create_view_function
 from viewloom.sources.payloads import unnest_payloads
 from viewloom.sources.records import parse_items, resolve, unnest_pages
@@ -152,6 +153,47 @@ def _with_sources(spark, sf_dir: str, sources: Column) -> DataFrame:
     return rows.select(record.alias("record"))
 
 
+WIDE_VIEW = ViewDef("sales", "WideOrderView", "v1", tuple(Property(f"field{i}") for i in range(181)))
+
+
+@query("SELECT " + ", ".join(f"CASE WHEN (o_orderkey + {i}) % 7 <> 0 THEN '{i}:' || o_orderkey END AS field{i}" for i in range(181))
+    + """, 'plant_' || o_orderstatus AS space, 'order_' || o_orderkey AS external_id, o_orderdate AS "createdTime",
+    TIMESTAMP '1970-01-01 00:00:00' AS "lastUpdatedTime", CAST(NULL AS TIMESTAMP) AS "deletedTime" FROM orders""")
+def resolve_wide(spark, sf_dir):
+    """A view of 181 text properties."""
+    key = F.col("o_orderkey")
+    fields = [
+        F.when((key + i) % 7 != 0, F.concat(F.lit(f"{i}:"), key)).alias(p.source_key) for i, p in enumerate(WIDE_VIEW.properties)
+    ]
+    properties = F.struct(F.struct(F.struct(*fields).alias(WIDE_VIEW.view_key)).alias(WIDE_VIEW.space))
+    record = _envelope(properties.alias("properties"))
+    return resolve(parse_items(read(spark, sf_dir, "orders").select(record.alias("record")), WIDE_VIEW), WIDE_VIEW)
+
+
+NOTE_VIEW = ViewDef("sales", "NoteView", "v1", (Property("note"), Property("total", "float64")))
+
+
+@query("""SELECT CASE o_orderkey % 3 WHEN 0 THEN '{"z": "' || o_orderpriority || '", "a": [' || o_orderkey || ', "x,y:z \\" é"]}'
+      WHEN 1 THEN '[{"q": ' || o_orderkey || ', "b": null}, true]' ELSE o_orderpriority END AS note, o_totalprice AS total,
+    'plant_' || o_orderstatus AS space, 'order_' || o_orderkey AS external_id, o_orderdate AS "createdTime",
+    TIMESTAMP '1970-01-01 00:00:00' AS "lastUpdatedTime", CAST(NULL AS TIMESTAMP) AS "deletedTime" FROM orders""")
+def resolve_json_text(spark, sf_dir):
+    """Objects and lists in a text property keep the order of their keys."""
+    kind, key = F.pmod("o_orderkey", F.lit(3)), F.col("o_orderkey")
+    note = (
+        F.when(kind == 0, F.concat(F.lit('{"z":"'), "o_orderpriority", F.lit('","a":['), key, F.lit(',"x,y:z \\" é"]}')))
+        .when(kind == 1, F.concat(F.lit('[{"q":'), key, F.lit(',"b":null},true]')))
+        .otherwise(_quoted(F.col("o_orderpriority")))
+    )
+    properties = F.concat(
+        F.lit(f', "properties": {{"{NOTE_VIEW.space}": {{"{NOTE_VIEW.view_key}": {{"note": '), note, F.lit(', "total": '), "o_totalprice", F.lit("}}}}")
+    )
+    envelope = _envelope().alias("e")
+    rows = read(spark, sf_dir, "orders").select(envelope, properties.alias("p"))
+    record = F.concat(F.expr("substring(e, 1, length(e) - 1)"), "p")
+    return resolve(parse_items(rows.select(record.alias("record")), NOTE_VIEW), NOTE_VIEW)
+
+
 # Coercion: each line item or order gives one JSON text, whose shape depends on its key
 
 
