@@ -3,10 +3,14 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from viewloom.functions.coercion import UNCLEAR_LINE, UNCLEAR_TEXT, unclear_texts
 from viewloom.model import Property, ViewDef
 from viewloom.sources.payloads import unnest_payloads
 from viewloom.sources.records import parse_items, read_pages, resolve, unnest_pages
+from workload.records import resolve_wide
 
 VIEW = ViewDef(
     "sailboat",
@@ -147,3 +151,34 @@ def test_doubtful_texts(spark):
     items = [item(externalId=str(i), properties={"m": {MIXED.view_key: {name: value}}}) for i, (name, value, _) in enumerate(DOUBTS)]
     got = {int(r.external_id): r for r in resolved(spark, *items, view=MIXED).collect()}
     assert {i: got[i][name] for i, (name, _, _) in enumerate(DOUBTS)} == {i: want for i, (_, _, want) in enumerate(DOUBTS)}
+
+
+def test_lines_of_texts_hold_every_unclear_text(spark):
+    texts = [
+        "1.5", "1.5\n", "1.5\r", "1.5\r\n", "-0", "-0 ", "1e3", "-1.25E-3", "1" * 30, " {", "\n\n [x", "\t[", "a[", "7", "1.5x", "x\n1.5", "", "\n",
+        "-", "1.", "-00", "1.5e", "é{", "\u0085[",
+    ]
+    df = spark.createDataFrame([(left, text, right) for text in texts for left in texts for right in (None, "a\r")], "l string, t string, r string")
+    columns = [df[c] for c in "ltr"]
+    singly = F.exists(F.array(*columns), lambda t: F.coalesce(t.rlike(UNCLEAR_TEXT), F.lit(False)))
+    assert df.where(singly & ~F.concat_ws("\n", *columns).rlike(UNCLEAR_LINE)).count() == 0
+    assert df.where(singly != unclear_texts(columns, T.StringType(), F.lit(""))).count() == 0
+
+
+def test_wide_records_stay_whole(spark):
+    """Fields of wide items are not made one by one by a generator, which is not compiled, and the input is dealt out."""
+    view = ViewDef("m", "WideView", "v1", tuple(Property(f"prop{i}") for i in range(150)))
+    df = resolved(spark, item(properties={"m": {view.view_key: {"prop1": "x"}}}), view=view)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    generators = [line for line in plan.splitlines() if "Generate " in line]
+    assert len(generators) == 2
+    assert not [line for line in generators if "struct(" in line or "named_struct(" in line]
+
+
+def test_resolve_wide_deals_out_orders(spark, tmp_path):
+    rows = [(i, "O", datetime(1996, 1, 1)) for i in range(400)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_orderstatus string, o_orderdate timestamp_ntz")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    got = resolve_wide(spark, str(tmp_path)).select("external_id", "field3", F.spark_partition_id().alias("part")).collect()
+    assert len({r.part for r in got}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted((r.external_id, r.field3) for r in got) == sorted((f"order_{i}", f"3:{i}" if (i + 3) % 7 else None) for i in range(400))

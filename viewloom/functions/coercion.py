@@ -11,7 +11,7 @@ compile.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -270,6 +270,11 @@ def _extra_part(data_type: T.DataType) -> str | None:
 
 # Texts that may come from a JSON number whose text is another one, or from an object or list.
 UNCLEAR_TEXT = r"^(\s*[\[{]|-0$|-?\d+[.]\d+$|-?\d+([.]\d+)?[eE][+-]?\d+$|-?\d{30,}$)"
+# Finds some line for every unclear text, and maybe for others: only \n parts lines here, and a text may hold it.
+_END = r"[\r\u0085\u2028\u2029]?$"
+UNCLEAR_LINE = (
+    r"(?dm)^(?:[ \t\x0B\f\r]*+[\[{]|-0" + _END + r"|-?+\d++(?:[.]\d++(?:[eE][+-]?+\d++)?+|[eE][+-]?+\d++)" + _END + r"|-?\d{30,}+" + _END + ")"
+)
 INTEGER_TEXT = r"^[+-]?\d+$"
 MILLIS_TEXT = r"^-?\d{1,15}$"
 YES_NO = ("true", "false", "1", "0")
@@ -284,7 +289,7 @@ def _id_in_json(text: Column) -> Column:
     return F.coalesce(F.get_json_object(text, "$.externalId"), F.get_json_object(text, "$.external_id"))
 
 
-def unclear_texts(texts: Column, data_type: T.DataType, record: Column, relation: bool = False) -> Column:
+def unclear_texts(texts: Sequence[Column], data_type: T.DataType, record: Column, relation: bool = False) -> Column:
     """Whether any of the texts could be coerced in two ways, depending on the JSON type that it has in ``record``.
 
     A text that stands nowhere in the record behind a quote is no JSON text; escapes that could hide one count as doubt.
@@ -306,7 +311,11 @@ def unclear_texts(texts: Column, data_type: T.DataType, record: Column, relation
             return ~F.lower(F.trim(text)).isin(*YES_NO)
         return F.when(text.rlike(MILLIS_TEXT), quoted(text)).otherwise(~text.rlike(r"^\d{4}-"))
 
-    return F.exists(texts, lambda text: F.coalesce(unclear(text), F.lit(False)))
+    found = F.exists(F.array(*texts), lambda text: F.coalesce(unclear(text), F.lit(False)))
+    if isinstance(data_type, T.StringType):
+        # One search of all texts first: each starts a line, and only if some line is unclear they are looked at singly.
+        return F.concat_ws("\n", *texts).rlike(UNCLEAR_LINE) & found
+    return found
 
 
 def from_plain_text(text: Column, data_type: T.DataType, relation: bool = False) -> Column:

@@ -78,22 +78,34 @@ def parse_items(records: DataFrame, view: ViewDef, record: str = "record") -> Da
     """Rows of ``item`` from a table with one JSON record text per row: only nodes or only edges, as the view wants."""
     options = {"columnNameOfCorruptRecord": MISFIT}
     # A guess at the form of ``sources``; a wrong one only costs time, as what doesn't fit is read again.
-    named = records.select(F.col(record).alias("record"))
-    named = named.select("*", F.when(~F.col("record").rlike(SOURCES_MAP), F.col("record")).alias("likely"))
-    first = named.select("record", "likely", F.from_json("likely", item_schema(view, True), options).alias("a"))
-    of_map = F.when(F.col("likely").isNull(), F.col("record")).otherwise(F.col("a")[MISFIT])
-    second = first.select("record", "likely", "a", F.from_json(of_map, item_schema(view, False), options).alias("b"))
+    text = F.col("record")
+    is_map = text.contains('"sources"') & text.rlike(SOURCES_MAP)
+    named = records.select(F.col(record).alias("record")).select("record", (~is_map).alias("guess"))
+    as_list = F.from_json(F.when(F.col("guess"), text), item_schema(view, True), options)
+    first = named.select("record", "guess", as_list.alias("a"))
     a, b = F.col("a"), F.col("b")
-    in_first = F.col("likely").isNotNull() & a[MISFIT].isNull()
-    shared = [c for c in ("space", "externalId", "external_id", "instanceType", "properties", *LIFECYCLE_COLUMNS)]
-    fields = [F.when(in_first, a[c]).otherwise(b[c]).alias(c) for c in shared]
-    fields += [F.when(in_first, a[p.source_key]).otherwise(b[p.source_key]).alias(f"top_{p.source_key}") for p in _top_level(view)]
-    fields += [F.when(in_first, a["sources"]).alias("listed"), F.when(~in_first, b["sources"]).alias("keyed")]
-    item = F.struct(F.col("record"), (~in_first & b[MISFIT].isNotNull()).alias("misfit"), *fields)
+    in_first = F.coalesce(F.col("guess"), F.lit(False)) & a[MISFIT].isNull()
+    of_map = F.when(in_first, None).otherwise(text)
+    second = first.select("record", in_first.alias("in_first"), "a", F.from_json(of_map, item_schema(view, False), options).alias("b"))
     kind = F.coalesce(a["instanceType"], b["instanceType"], F.lit("node"))
-    of_kind = F.when((a.isNotNull() | b.isNotNull()) & (kind == view.instance_type), F.array(item))
+    keep = (a.isNotNull() | b.isNotNull()) & (kind == view.instance_type)
+    # Both readings are kept whole: a struct is copied at once, while hundreds of fields picked from it are copied one by one.
+    rows = second.select(keep.alias("keep"), F.struct("record", "in_first", "a", "b").alias("item"))
     # A generator: no filter above it makes Spark parse the JSON again.
-    return second.select(F.explode(of_kind).alias("item"))
+    return rows.select(F.explode(F.when(F.col("keep"), F.array("item"))).alias("item"))
+
+
+def _all(conditions: list[Column]) -> Column:
+    """Whether all hold, as a tree of low depth."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _all(conditions[:half]) & _all(conditions[half:])
+
+
+def _picked(item: Column, name: str) -> Column:
+    """A field of the reading that an item fits."""
+    return F.when(item["in_first"], item["a"][name]).otherwise(item["b"][name])
 
 
 def _json_path(*keys: str) -> str:
@@ -140,58 +152,76 @@ def _last_given(objects: Column, path: str) -> Column:
 
 
 def _typed_values(items: DataFrame, view: ViewDef) -> DataFrame:
-    """``item`` with the view's values as read (``v_0`` and so on), and ``unclear`` where they must be read as VARIANT."""
+    """Of each item its ``record`` and ``envelope``, the view's values as read in the struct ``read`` (by source key; JSON null in
+    a VARIANT may be left), and ``unclear`` where they must be read as VARIANT.
+
+    The values stay in one struct from step to step, which is copied whole.
+    """
     item = F.col("item")
-    of_view = F.filter(F.map_values(item["properties"]), lambda views: views[view.view_key].isNotNull())
+    in_first = item["in_first"]
+    envelope = F.struct(*[_picked(item, c).alias(c) for c in ("space", "externalId", "external_id", *LIFECYCLE_COLUMNS)])
+    properties = _picked(item, "properties")
+    of_view = F.filter(F.map_values(properties), lambda views: views[view.view_key].isNotNull())
     entries = F.filter(
-        item["listed"],
+        F.when(in_first, item["a"]["sources"]),
         lambda e: _names(view, e["source"]["space"], e["source"]["externalId"], e["source"]["external_id"], e["source"]["version"]),
     )
     parts = items.select(
         "item",
-        F.try_element_at(item["properties"], F.lit(view.space))[view.view_key].alias("own"),
+        envelope.alias("envelope"),
+        F.try_element_at(properties, F.lit(view.space))[view.view_key].alias("own"),
         of_view.alias("holders"),
         F.transform(entries, lambda e: e["properties"]).alias("entries"),
-        item["keyed"][view.view_key].alias("keyed"),
     )
     found = parts.select(
-        "item",
-        "keyed",
-        "own",
+        item["record"].alias("record"),
+        "envelope",
+        (~in_first & item["b"][MISFIT].isNotNull()).alias("misfit"),
+        in_first.alias("in_first"),
+        item["a"].alias("a"),
+        item["b"].alias("b"),
         F.when(F.col("own").isNotNull(), F.col("own")).otherwise(F.get("holders", 0)[view.view_key]).alias("nested"),
-        (F.size("holders") > 1).alias("more_holders"),
+        (F.col("own").isNotNull() & (F.size("holders") > 1)).alias("may_fall_back"),
         F.get("entries", F.size("entries") - 1).alias("last"),
         F.get("entries", F.size("entries") - 2).alias("before"),
         (F.size("entries") > 2).alias("more_entries"),
     )
+    keyed = F.when(~F.col("in_first"), F.col("b")["sources"][view.view_key])
     top = set(_top_level(view))
-    values = []
+    values, flats = [], []
     for prop in view.properties:
         present = (lambda c: c) if read_as_text(prop) else _present
-        candidates = [present(F.col(source)[prop.source_key]) for source in ("last", "before", "keyed", "nested")]
+        candidates = [present(c[prop.source_key]) for c in (F.col("last"), F.col("before"), F.col("keyed"), F.col("nested"))]
         if prop in top:
-            candidates.append(present(item[f"top_{prop.source_key}"]))
+            flat = F.when(F.col("in_first"), F.col("a")[prop.source_key]).otherwise(F.col("b")[prop.source_key])
+            candidates.append(present(flat))
+            flats.append(flat)
         values.append(F.coalesce(*candidates))
     # An own object without any value may be an empty one, and then another space's counts.
-    some = [F.col("own")[p.source_key].isNotNull() for p in view.properties]
-    none_own = ~F.coalesce(F.greatest(*some) if len(some) > 1 else some[0], F.lit(False)) if some else F.lit(True)
-    unsure = F.coalesce("more_entries", F.lit(False)) | (F.col("own").isNotNull() & F.col("more_holders") & none_own)
-    rows = found.select("item", unsure.alias("unsure"), *[v.alias(f"v_{i}") for i, v in enumerate(values)])
+    some = [F.col("nested")[p.source_key].isNotNull() for p in view.properties]
+    no_value = ~F.coalesce(F.greatest(*some) if len(some) > 1 else some[0], F.lit(False)) if some else F.lit(True)
+    unsure = F.coalesce("more_entries", F.lit(False)) | (F.col("may_fall_back") & no_value)
+    read = F.struct(*[v.alias(p.source_key) for p, v in zip(view.properties, values, strict=True)]) if values else F.struct(F.lit(None).alias("v"))
+    if values:  # a nested object with nothing beside it is taken whole
+        alone = [F.col("nested").isNotNull(), *[F.col(c).isNull() for c in ("last", "before", "keyed")], *[c.isNull() for c in flats]]
+        read = F.when(_all(alone), F.col("nested")).otherwise(read)
+    rows = found.withColumn("keyed", keyed).select("record", "envelope", "misfit", unsure.alias("unsure"), read.alias("read"))
     texts = {}
-    for i, prop in enumerate(view.properties):
+    for prop in view.properties:
         if read_as_text(prop):
-            texts.setdefault((prop.spark_type, is_relation(prop)), []).append(F.col(f"v_{i}"))
-    unclear = [item["misfit"], F.col("unsure")]
-    unclear += [unclear_texts(F.array(*held), kind, item["record"], relation) for (kind, relation), held in texts.items()]
-    return rows.select("*", F.exists(F.array(*unclear), lambda c: F.coalesce(c, F.lit(False))).alias("unclear")).drop("unsure")
+            texts.setdefault((prop.spark_type, is_relation(prop)), []).append(F.col("read")[prop.source_key])
+    unclear = [F.col("misfit"), F.col("unsure")]
+    unclear += [unclear_texts(held, kind, F.col("record"), relation) for (kind, relation), held in texts.items()]
+    any_unclear = ~_all([~F.coalesce(c, F.lit(False)) for c in unclear])
+    return rows.select("record", "envelope", "read", any_unclear.alias("unclear"))
 
 
 def _variant_values(rows: DataFrame, view: ViewDef) -> DataFrame:
-    """``rows`` with ``s_0`` and so on: the values of unclear rows as VARIANT, and with ``again``, their item."""
-    again = F.from_json(F.when(F.col("unclear"), F.col("item")["record"]), variant_schema(view))
-    read = rows.select("*", again.alias("again"))
+    """``rows`` with the values of unclear rows as VARIANT in the struct ``reread`` (``s_0`` and so on) and their item in ``again``;
+    both are NULL for other rows."""
+    again = F.from_json(F.when(F.col("unclear"), F.col("record")), variant_schema(view))
     item = F.col("again")
-    found = read.select(
+    found = rows.select("envelope", "read", "unclear", again.alias("again")).select(
         "*",
         nested_object(item["properties"], view).alias("nested"),
         listed_objects(item["sources"], view).alias("listed"),
@@ -207,8 +237,9 @@ def _variant_values(rows: DataFrame, view: ViewDef) -> DataFrame:
         ]
         if prop in top:
             candidates.append(item[prop.source_key])
-        values.append(F.when(F.col("unclear"), F.coalesce(*candidates)))
-    return found.select(*rows.columns, "again", *[v.alias(f"s_{i}") for i, v in enumerate(values)])
+        values.append(F.coalesce(*candidates))
+    reread = F.struct(*[v.alias(f"s_{i}") for i, v in enumerate(values)]) if values else F.struct(F.lit(None).alias("s"))
+    return found.select("envelope", "read", "unclear", "again", F.when(F.col("unclear"), reread).alias("reread"))
 
 
 def resolve(items: DataFrame, view: ViewDef) -> DataFrame:
@@ -217,6 +248,7 @@ def resolve(items: DataFrame, view: ViewDef) -> DataFrame:
     Unclear texts are coerced type by type in one array each, so that a view of hundreds of properties has a small plan.
     """
     rows = _variant_values(_typed_values(items, view), view)
+    read, reread = (lambda i: F.col("read")[view.properties[i].source_key]), (lambda i: F.col("reread")[f"s_{i}"])
     numbered = list(enumerate(view.properties))
     of_type = {}
     for i, prop in numbered:
@@ -225,16 +257,16 @@ def resolve(items: DataFrame, view: ViewDef) -> DataFrame:
     again, arrays, place = [], {}, {}
     for kind, held in of_type.items():
         arrays[kind] = f"again_{len(again)}"
-        values = F.array(*[F.struct(F.col(f"s_{i}").alias("value"), F.col(f"v_{i}").alias("raw")) for i in held])
+        values = F.array(*[F.struct(reread(i).alias("value"), read(i).alias("raw")) for i in held])
         again.append(F.when(F.col("unclear"), coerce_list(values, kind)).alias(arrays[kind]))
         place.update({i: at for at, i in enumerate(held)})
     times = F.array(*[F.struct(F.col("again")[c].alias("value"), F.lit(None).cast("string").alias("raw")) for c in LIFECYCLE_COLUMNS])
     again.append(F.when(F.col("unclear"), coerce_list(times, T.TimestampType())).alias("again_times"))
-    rows = rows.select("*", *again)
+    rows = rows.select("envelope", "read", "reread", "unclear", *again)
 
-    item, unclear = F.col("item"), F.col("unclear")
+    item, unclear = F.col("envelope"), F.col("unclear")
     plain = {
-        p.name: F.when(unclear, F.get(arrays[p.spark_type], F.lit(place[i]))).otherwise(from_plain_text(F.col(f"v_{i}"), p.spark_type, is_relation(p)))
+        p.name: F.when(unclear, F.get(arrays[p.spark_type], F.lit(place[i]))).otherwise(from_plain_text(read(i), p.spark_type, is_relation(p)))
         for i, p in numbered if read_as_text(p)
     }
     plain["space"] = item["space"]
@@ -242,10 +274,18 @@ def resolve(items: DataFrame, view: ViewDef) -> DataFrame:
     # Times of the envelope are texts only in records that don't fit.
     plain |= {c: F.when(unclear, F.get("again_times", F.lit(i))).otherwise(F.timestamp_millis(item[c])) for i, c in enumerate(LIFECYCLE_COLUMNS)}
     wanted = {
-        p.name: (F.when(unclear, F.col(f"s_{i}")).otherwise(F.col(f"v_{i}")), p.spark_type)
+        p.name: (F.when(unclear, reread(i)).otherwise(_present(read(i))), p.spark_type)
         for i, p in numbered if not read_as_text(p)
     }
     if wanted:
         return coerce_columns(rows, wanted, plain=plain).select(*view.columns)
-    # A generator, as in coerce_columns.
-    return rows.select(F.inline(F.array(F.struct(*[plain[c].alias(c) for c in view.columns]))))
+    # Texts that are their own value come from ``read``, which clear rows pass on whole; their fields are picked at the very end.
+    own = {p.name: p for p in view.properties if isinstance(p.spark_type, T.StringType) and not is_relation(p)}
+    texts = F.struct(*[
+        (F.get(arrays[p.spark_type], F.lit(place[i])) if p.name in own else F.lit(None).cast("string")).alias(p.source_key) for i, p in numbered
+    ] or [F.lit(None).alias("v")])
+    texts = F.when(unclear, texts).otherwise(F.col("read"))
+    whole = rows.select(F.struct(texts.alias("__texts"), *[plain[c].alias(c) for c in view.columns if c not in own]).alias("row"))
+    # A generator, as in coerce_columns. It takes the row from the step below, which is compiled; a generator's own arguments aren't.
+    made = whole.select(F.inline(F.array("row")))
+    return made.select(*[F.col("__texts")[own[c].source_key].alias(c) if c in own else F.col(c) for c in view.columns])
